@@ -58,30 +58,40 @@ def key_overlap(
 def key_overlaps(
     left: DataFrame, checks: Sequence[tuple[str, DataFrame, Sequence[tuple[str, str]]]], section: str = "overlap"
 ) -> DataFrame:
-    """Several overlap checks of one table (name, right table, key pairs) with one scan of it and one shuffle.
+    """Several overlap checks of one table (name, right table, key pairs) with one scan of it.
 
-    Each left row yields one small tagged key per check, reduced in the map task before it is shuffled.
+    Grouping sets reduce the left table to its distinct keys for every check at once. Each key then collects one
+    bit per table that has it.
     """
-    width = max(len(pairs) for _, _, pairs in checks)
-    slots = [f"k{i}" for i in range(width)]
-
-    def tagged(name: str, columns: Sequence[str]) -> Column:
-        values = [F.col(c).cast("string") for c in columns] + [F.lit(None).cast("string")] * (width - len(columns))
-        complete = reduce(Column.__and__, [F.col(c).isNotNull() for c in columns])
-        return F.when(complete, F.struct(F.lit(name).alias("name"), *[v.alias(k) for v, k in zip(values, slots)]))
-
-    sides = [left.select(
-        F.explode(F.array_compact(F.array(*[tagged(name, [a for a, _ in pairs]) for name, _, pairs in checks])))
-        .alias("key"), F.lit(True).alias("_l"), F.lit(False).alias("_r"),
-    )]
-    for name, right, pairs in checks:
-        key = tagged(name, [b for _, b in pairs]).alias("key")
-        sides.append(right.dropna(subset=[b for _, b in pairs]).select(key, F.lit(False).alias("_l"), F.lit(True).alias("_r")))
-    keys = reduce(DataFrame.unionByName, [side.select("key.*", "_l", "_r") for side in sides])
-    seen = keys.groupBy("name", *slots).agg(F.max("_l").alias("_l"), F.max("_r").alias("_r"))
-    return seen.groupBy("name").agg(F.count_if(F.col("_l") & F.col("_r")).alias("value")).select(
-        F.lit(section).alias("section"), "name", "value"
+    key_sets = sorted({tuple(a for a, _ in pairs) for _, _, pairs in checks})
+    columns = list(dict.fromkeys(c for keys in key_sets for c in keys))
+    # grouping_id has a bit for every column left out of the set, the first column being the highest.
+    ids = {keys: sum(1 << i for i, c in enumerate(reversed(columns)) if c not in keys) for keys in key_sets}
+
+    def complete(df: DataFrame) -> DataFrame:
+        conditions = [
+            (F.col("_set") == ids[keys]) & reduce(Column.__and__, [F.col(c).isNotNull() for c in keys])
+            for keys in key_sets
+        ]
+        return df.filter(reduce(Column.__or__, conditions))
+
+    distinct = left.groupingSets([list(keys) for keys in key_sets], *columns).agg(
+        F.grouping_id().cast("bigint").alias("_set")
     )
+    sides = [distinct.select("_set", *columns, F.lit(1).cast("bigint").alias("_seen"))]
+    for bit, (_, right, pairs) in enumerate(checks, start=1):
+        given = {a: F.col(b) for a, b in pairs}
+        keys = [given.get(c, F.lit(None)).cast(left.schema[c].dataType).alias(c) for c in columns]
+        own = F.lit(ids[tuple(a for a, _ in pairs)]).cast("bigint").alias("_set")
+        sides.append(right.select(own, *keys, F.lit(1 << bit).cast("bigint").alias("_seen")))
+    seen = complete(reduce(DataFrame.unionByName, sides)).groupBy("_set", *columns).agg(
+        F.bit_or("_seen").alias("_seen")
+    )
+    both = [
+        F.count_if((F.col("_seen").bitwiseAND(F.lit(1)) != 0) & (F.col("_seen").bitwiseAND(F.lit(1 << bit)) != 0))
+        .alias(name) for bit, (name, _, _) in enumerate(checks, start=1)
+    ]
+    return long_metrics(seen.agg(*both), section)
 
 
 def top_per_group(counted: DataFrame, group: str, rows: str, tie: str, n: int) -> DataFrame:
