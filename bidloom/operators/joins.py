@@ -1,4 +1,4 @@
-"""Equi-joins with checked broadcasts, null-safe lookups and time-bounded matches."""
+"""Equi-joins with checked broadcasts, and time-bounded matches."""
 
 from __future__ import annotations
 
@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from bidloom.functions.scalars import surrogate_key
-
 BROADCAST_BYTES = 64 * 1024 * 1024
 # Widths of Spark's in-memory rows: one 8-byte word per fixed-width column, plus the null bitmap and padding.
 _WORD = 8
@@ -62,29 +60,6 @@ def left_many(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]
     return left.join(right, equal_on(left, right, pairs), "left")
 
 
-def null_safe_left(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """Left join in which a null key matches a null key."""
-    return left.join(right, equal_on(left, right, pairs, null_safe=True), "left")
-
-
-def surrogate_left(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """The same matches through one hashed key, which keeps a wide nullable key out of the shuffle and the join."""
-    keyed_left = left.withColumn("_sk", surrogate_key(*[a for a, _ in pairs]))
-    keyed_right = right.withColumn("_sk", surrogate_key(*[b for _, b in pairs]))
-    return keyed_left.join(keyed_right, "_sk", "left").drop("_sk")
-
-
-def split_null_left(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """The same matches in two paths: plain equality for complete keys, null-safe for the rest."""
-    def complete(names: list[str]) -> Column:
-        return reduce(Column.__and__, [F.col(n).isNotNull() for n in names])
-
-    left_full, right_full = complete([a for a, _ in pairs]), complete([b for _, b in pairs])
-    plain = left_many(left.filter(left_full), right.filter(right_full), pairs)
-    with_nulls = null_safe_left(left.filter(~left_full), right.filter(~right_full), pairs)
-    return plain.unionByName(with_nulls)
-
-
 def count_within(
     left: DataFrame,
     right: DataFrame,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from bidloom import fixed_values as fv
 from bidloom.functions import scalars as s
 from bidloom.functions.fixed_point import money_sum
-from bidloom.operators import dedup, fanout, joins, quality
+from bidloom.operators import dedup, fanout, joins, nullable, quality
 from bidloom.plans import converters, enrichment, remedies, revenue
 from bidloom.registry import roles
 from bidloom.registry.base import register, table
@@ -276,24 +276,24 @@ def _market(spark, sf_dir, join):
     markets = rows.groupBy(F.col("koa_group").alias("market_group"), F.col("policy_mode").alias("market_mode")).agg(
         F.count(F.lit(1)).alias("market_rows")
     )
-    return join(rows, markets, MARKET_PAIRS).select(
+    return join(rows, markets, MARKET_PAIRS, BID_COLUMNS).select(
         "bid_request_id", "bid_price", "koa_group", "policy_mode", "market_rows"
     )
 
 
 @register("nullsafe_join", MARKET_SQL)
 def nullsafe_join(spark, sf_dir):
-    return _market(spark, sf_dir, joins.null_safe_left)
+    return _market(spark, sf_dir, nullable.null_safe_left)
 
 
 @register("surrogate_key_join", MARKET_SQL)
 def surrogate_key_join(spark, sf_dir):
-    return _market(spark, sf_dir, joins.surrogate_left)
+    return _market(spark, sf_dir, nullable.surrogate_left)
 
 
 @register("split_null_join", MARKET_SQL)
 def split_null_join(spark, sf_dir):
-    return _market(spark, sf_dir, joins.split_null_left)
+    return _market(spark, sf_dir, nullable.split_null_left)
 
 
 # --- fan-out ----------------------------------------------------------------
@@ -355,7 +355,7 @@ SELECT o_orderkey, o_custkey, event_id, event_type, value FROM orders LEFT JOIN
 """)
 def feature_latest(spark, sf_dir):
     rows = remedies.join_latest(
-        table(spark, sf_dir, "orders"), table(spark, sf_dir, "events"), USER_PAIR, ["ts", "event_id"]
+        table(spark, sf_dir, "orders"), table(spark, sf_dir, "events"), USER_PAIR, ["ts", "event_id"], ["o_orderkey"]
     )
     return rows.select("o_orderkey", "o_custkey", "event_id", "event_type", "value")
 
@@ -369,7 +369,9 @@ SELECT o_orderkey, o_custkey, events, total, types FROM orders LEFT JOIN (
 def feature_preagg(spark, sf_dir):
     summary = [F.count(F.lit(1)).alias("events"), money_sum(F.col("value")).alias("total"),
                F.count_distinct("event_type").alias("types")]
-    rows = remedies.join_summary(table(spark, sf_dir, "orders"), table(spark, sf_dir, "events"), USER_PAIR, summary)
+    rows = remedies.join_summary(
+        table(spark, sf_dir, "orders"), table(spark, sf_dir, "events"), USER_PAIR, summary, ["o_orderkey"]
+    )
     return rows.select("o_orderkey", "o_custkey", "events", "total", "types")
 
 

@@ -112,3 +112,12 @@ def test_fanout_estimate_at_a_larger_preset(spark):
     bids = synthetic.bids(spark.range(run.rows["bids"]), run)
     features = synthetic.features(spark.range(run.rows["features"]), run)
     assert int(fanout.estimate(bids, features, keys, keys).first()["left_join_rows"]) == 602_400_000
+
+
+def test_split_hot_keys_give_the_same_output(tiny_job):
+    """With every search for hot keys forced, and a low limit, the output stays the same."""
+    rows = enrichment.enrich(tiny_job, hot_rows=100, small_input=0)
+    assert "_piece" in rows._jdf.queryExecution().toString()
+    assert {r["name"]: r["value"] for r in enrichment.joined_counts(rows).collect()}["joined_row_count"] == 1_080_000
+    split, plain = (enrichment.low_frequency(r, digits=4) for r in (rows, enrichment.enrich(tiny_job)))
+    assert split.exceptAll(plain).isEmpty() and plain.exceptAll(split).isEmpty()

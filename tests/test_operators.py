@@ -3,9 +3,8 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException  # noqa: F401
 
-from bidloom.operators import dedup, fanout, joins, quality, salting, sketches
+from bidloom.operators import dedup, fanout, joins, nullable, quality, salting, skew, sketches
 from bidloom.plans import remedies
 
 
@@ -26,14 +25,16 @@ def test_keep_extreme_needs_no_window(spark):
     assert "Window" not in dedup.keep_extreme(df, ["k"], ["id"])._jdf.queryExecution().toString()
 
 
-@pytest.mark.parametrize("join", [joins.null_safe_left, joins.surrogate_left, joins.split_null_left])
-def test_nullable_lookups(spark, join):
+@pytest.mark.parametrize("join", [nullable.null_safe_left, nullable.surrogate_left, nullable.split_null_left])
+@pytest.mark.parametrize("limits", [{}, {"hot_rows": 1, "small_input": 0}])
+def test_nullable_lookups(spark, join, limits):
     left = spark.createDataFrame([(1, "a", None), (2, None, None), (3, "a", "b"), (4, "c", "d"), (5, None, "b")],
                                  "i int, a string, b string")
     right = spark.createDataFrame([("a", None, 10), (None, None, 20), ("a", "b", 30), ("a", "b", 31)],
                                   "x string, y string, v int")
-    got = as_set(join(left, right, [("a", "x"), ("b", "y")]).select("i", "v"))
-    assert got == collections.Counter([(1, 10), (2, 20), (3, 30), (3, 31), (4, None), (5, None)])
+    left = left.unionByName(left)
+    got = as_set(join(left, right, [("a", "x"), ("b", "y")], ["i"], **limits).select("i", "v"))
+    assert got == collections.Counter([(1, 10), (2, 20), (3, 30), (3, 31), (4, None), (5, None)] * 2)
 
 
 @pytest.mark.parametrize("seconds", [1, 7, 60])
@@ -91,9 +92,9 @@ def test_value_profile(spark):
 def test_remedies(spark):
     left = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "i int, k string")
     right = spark.createDataFrame([("a", 1, 10), ("a", 2, 20), (None, 9, 90)], "k2 string, t int, v int")
-    latest = remedies.join_latest(left, right, [("k", "k2")], ["t"]).select("i", "v")
+    latest = remedies.join_latest(left, right, [("k", "k2")], ["t"], ["i"]).select("i", "v")
     assert as_set(latest) == collections.Counter([(1, 20), (2, None), (3, None)])
-    total = remedies.join_summary(left, right, [("k", "k2")], [F.sum("v").alias("s")]).select("i", "s")
+    total = remedies.join_summary(left, right, [("k", "k2")], [F.sum("v").alias("s")], ["i"]).select("i", "s")
     assert as_set(total) == collections.Counter([(1, 30), (2, None), (3, None)])
     assert remedies.only_named(right, "k2", ["a"]).count() == 2
 
@@ -167,3 +168,28 @@ def test_merged_sketches_are_close(spark):
 def test_salted_key(spark):
     row = salting.with_salt(spark.createDataFrame([("u",)], "u string"), "u").select("salt", salting.salted_key("u")).first()
     assert row[1] == f"u#{row[0]}"
+
+
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_hot_keys_are_split_and_the_join_is_the_same(spark, null_safe):
+    left = spark.range(0, 30_000, 1, 8).select(
+        F.expr("CASE WHEN id % 3 = 0 THEN 7 WHEN id % 10 = 1 THEN NULL ELSE id % 500 END").cast("int").alias("k"), "id")
+    right = spark.range(400).select(F.expr("nullif(id, 399)").alias("k2"), (F.col("id") * 3).alias("v"))
+    hot = skew.find(left, {"k": ["k"]}, hot_rows=500, small_input=0)["k"]
+    assert len(hot.pieces) == 2 and max(hot.pieces.values()) == 21
+    plain = skew.left_join(left, right, [("k", "k2")], skew.HotKeys({}), ["id"], null_safe)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        split = skew.left_join(left, right, [("k", "k2")], hot, ["id"], null_safe)
+        assert split.columns == plain.columns
+        tasks = split.filter("k = 7").select(F.spark_partition_id()).distinct().count()
+        assert tasks > 4
+        assert split.exceptAll(plain).isEmpty() and plain.exceptAll(split).isEmpty()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_small_inputs_are_not_searched(spark):
+    assert skew.find(spark.range(100), {"k": ["id"]}, hot_rows=1)["k"].pieces == {}
