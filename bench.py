@@ -23,7 +23,7 @@ from bidloom.registry import roles  # noqa: E402
 from bidloom.registry.catalog import QUERIES  # noqa: E402
 from bidloom.sources import synthetic  # noqa: E402
 from bidloom.sources.files import scan_partitions, table_path  # noqa: E402
-from bidloom.sources.sinks import write_by_key, write_snapshot  # noqa: E402
+from bidloom.sources.sinks import write_snapshot  # noqa: E402
 
 HEADLINE = [
     "daily_product_revenue", "daily_revenue_param", "ingest_partitioned", "feature_convert", "eligible_convert",
@@ -65,10 +65,10 @@ def preset(spark, folder: str, scale: str) -> dict[str, float]:
     raw = raw_tables(spark, base, run)
     done = {}
     paths = {n: f"{base}/converted/{n}" for n in ("feature_log", "eligible_user_data")}
-    done[f"preset_{scale}_feature_converter"] = timed(lambda: write_by_key(
-        converters.convert_features(raw.features), paths["feature_log"], ["user_id_hash", "contextual_id"]))
-    done[f"preset_{scale}_eligible_converter"] = timed(lambda: write_by_key(
-        converters.convert_eligible(raw.eligible), paths["eligible_user_data"], ["user_id_hash", "frequency_bracket"]))
+    done[f"preset_{scale}_feature_converter"] = timed(
+        lambda: converters.run_features(raw.features, paths["feature_log"]).collect())
+    done[f"preset_{scale}_eligible_converter"] = timed(
+        lambda: converters.run_eligible(raw.eligible, paths["eligible_user_data"]).collect())
     inputs = replace(raw, features=spark.read.parquet(paths["feature_log"]),
                      eligible=spark.read.parquet(paths["eligible_user_data"]))
     done[f"preset_{scale}_main_job"] = timed(

@@ -15,33 +15,28 @@ def key_counts(df: DataFrame, keys: list[str], name: str, names: list[str] | Non
     return df.groupBy(*renamed).agg(F.count(F.lit(1)).alias(name))
 
 
-def value_profile(df: DataFrame, value: str, prefix: str = "") -> DataFrame:
+def _spread(value: Column, copies: Column, prefix: str = "") -> list[Column]:
+    """Exact p50/p75/p95 and maximum of a value that occurs `copies` times; null values are skipped."""
+    def at(share: float) -> Column:
+        return F.percentile(value.cast("double"), F.lit(share), copies)
+
+    return [
+        at(0.50).alias(f"{prefix}p50"), at(0.75).alias(f"{prefix}p75"), at(0.95).alias(f"{prefix}p95"),
+        F.max(value.cast("decimal(38,0)")).alias(f"{prefix}max"),
+    ]
+
+
+def value_profile(df: DataFrame, value: str) -> DataFrame:
     """Count, sum, mean, p50/p75/p95 and maximum of a whole-number column.
 
     The column is first reduced to one row per distinct value; k different row counts need about k*k/2 rows in the
     data, so the exact percentile never holds more than a few million values.
     """
     histogram = df.groupBy(F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    wide = F.col("_v").cast("decimal(38,0)")
-
-    def at(share: float) -> Column:
-        return F.percentile(F.col("_v").cast("double"), F.lit(share), F.col("_n"))
-
-    profile = histogram.agg(
-        F.sum("_n").alias("_keys"),
-        F.sum(wide * F.col("_n").cast(_WIDE)).alias("_total"),
-        at(0.50).alias(f"{prefix}p50"),
-        at(0.75).alias(f"{prefix}p75"),
-        at(0.95).alias(f"{prefix}p95"),
-        F.max(wide).alias(f"{prefix}max"),
-    )
-    mean = F.col("_total").cast("double") / F.col("_keys").cast("double")
-    return profile.select(
-        F.col("_keys").alias(f"{prefix}keys"),
-        F.col("_total").alias(f"{prefix}rows"),
-        mean.alias(f"{prefix}avg"),
-        *[f"{prefix}{name}" for name in ("p50", "p75", "p95", "max")],
-    )
+    total = F.sum(F.col("_v").cast(_WIDE) * F.col("_n").cast(_WIDE))
+    profile = histogram.agg(F.sum("_n").alias("keys"), total.alias("rows"), *_spread(F.col("_v"), F.col("_n")))
+    mean = F.col("rows").cast("double") / F.col("keys").cast("double")
+    return profile.select("keys", "rows", mean.alias("avg"), "p50", "p75", "p95", "max")
 
 
 def rows_per_key(left: DataFrame, right: DataFrame, left_keys: list[str], right_keys: list[str]) -> DataFrame:
@@ -55,18 +50,23 @@ def rows_per_key(left: DataFrame, right: DataFrame, left_keys: list[str], right_
 
 
 def estimate(left: DataFrame, right: DataFrame, left_keys: list[str], right_keys: list[str]) -> DataFrame:
-    """Exact sizes of the left and of the inner join, with the spread over keys."""
+    """Exact sizes of the left and of the inner join, and the spread of joined rows over the matching keys."""
     per_key = rows_per_key(left, right, left_keys, right_keys)
-    matched = F.col("right_rows").isNotNull()
-    totals = per_key.agg(
-        F.sum("left_rows").alias("left_rows"),
-        F.count(F.when(matched, 1)).alias("matching_keys"),
-        F.coalesce(F.sum(F.when(matched, F.col("join_rows"))), F.lit(0).cast("decimal(38,0)")).alias("inner_rows"),
-        F.sum("join_rows").alias("left_join_rows"),
+    histogram = per_key.groupBy(F.col("right_rows").isNotNull().alias("_matched"), "join_rows").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("left_rows").alias("_left")
+    )
+    matched_rows = F.when(F.col("_matched"), F.col("join_rows"))
+    copies = F.col("_n").cast(_WIDE)
+    none = F.lit(0).cast("decimal(38,0)")
+    sizes = histogram.agg(
+        F.sum("_left").alias("left_rows"),
+        F.sum(F.when(F.col("_matched"), F.col("_n")).otherwise(F.lit(0))).alias("matching_keys"),
+        F.coalesce(F.sum(matched_rows.cast("decimal(38,0)") * copies), none).alias("inner_rows"),
+        F.sum(F.col("join_rows") * copies).alias("left_join_rows"),
+        *_spread(matched_rows, F.col("_n")),
     )
-    spread = value_profile(per_key.filter(matched), "join_rows").drop("keys", "rows")
-    # One row on each side.
-    return totals.withColumn("_one", F.lit(1)).join(spread.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    mean = F.col("inner_rows").cast("double") / F.nullif(F.col("matching_keys").cast("double"), F.lit(0.0))
+    return sizes.withColumn("avg", mean)
 
 
 def largest_keys(

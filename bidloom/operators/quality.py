@@ -108,13 +108,10 @@ def top_keys(df: DataFrame, keys: list[str], n: int) -> DataFrame:
 def hot_keys(df: DataFrame, key: str, n: int, default: object | None = None) -> DataFrame:
     """The n largest key groups (null included) with their share of all rows and whether they are a filler value."""
     groups = df.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
-    largest = groups.orderBy(F.desc("rows"), key).limit(n)
-    total = df.agg(F.count(F.lit(1)).alias("_total")).withColumn("_one", F.lit(1))
-    share = F.col("rows").cast("double") / F.col("_total").cast("double")
+    total = df.agg(F.count(F.lit(1)).cast("double")).scalar()
     filler = F.col(key).isNull() if default is None else (F.col(key).isNull() | (F.col(key) == F.lit(default)))
-    return (
-        largest.withColumn("_one", F.lit(1)).join(total, "_one")
-        .select(F.col(key), "rows", share.alias("share"), filler.alias("is_null_or_default"))
+    return groups.orderBy(F.desc("rows"), key).limit(n).select(
+        key, "rows", (F.col("rows").cast("double") / total).alias("share"), filler.alias("is_null_or_default")
     )
 
 

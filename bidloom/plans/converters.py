@@ -10,6 +10,7 @@ from bidloom.functions import scalars as s
 from bidloom.operators.dedup import keep_extreme
 from bidloom.operators.quality import distinct_rows, long_metrics
 from bidloom.sources.files import HOUR_PARTS
+from bidloom.sources.sinks import write_by_key
 
 # Output contracts.
 FEATURE_COLUMNS = (
@@ -87,7 +88,21 @@ def eligible_metrics(raw: DataFrame, converted: DataFrame) -> DataFrame:
     return long_metrics(counts, section).unionByName(long_metrics(out, section))
 
 
-def before_after(raw: DataFrame, converted: DataFrame, key: str, compared: list[str], ids: list | None = None):
+def run_features(raw: DataFrame, target: str, mode: str = "overwrite") -> DataFrame:
+    """The feature converter as a job: write, then report on what was written."""
+    write_by_key(convert_features(raw), target, ["user_id_hash", "contextual_id"], mode)
+    return feature_metrics(raw, raw.sparkSession.read.parquet(target))
+
+
+def run_eligible(raw: DataFrame, target: str, mode: str = "overwrite") -> DataFrame:
+    """The eligible-user converter as a job."""
+    write_by_key(convert_eligible(raw), target, ["user_id_hash", "frequency_bracket"], mode)
+    return eligible_metrics(raw, raw.sparkSession.read.parquet(target))
+
+
+def before_after(
+    raw: DataFrame, converted: DataFrame, key: str, compared: list[str], ids: list | None = None
+) -> DataFrame:
     """Raw and converted records side by side, for the given ids or for all."""
     old = raw.select(key, *[F.col(c).alias(f"raw_{c}") for c in compared])
     if ids is not None:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from bidloom import fixed_values as fv
 from bidloom.functions import scalars as s
 from bidloom.functions.fixed_point import money_sum
-from bidloom.operators import dedup, fanout, joins, nullable, quality
+from bidloom.operators import dedup, fanout, intervals, joins, nullable, quality, skew
 from bidloom.plans import converters, enrichment, remedies, revenue
 from bidloom.registry import roles
 from bidloom.registry.base import register, table
@@ -77,10 +77,9 @@ SELECT 'eligible_user_data_converter', unnest(['raw_matched_user_data_count', 'c
 FROM eligible
 """)
 def converter_metrics(spark, sf_dir):
-    raw_features, raw_matched = roles.feature_log(spark, sf_dir), roles.matched_users(spark, sf_dir)
-    features = converters.feature_metrics(raw_features, converters.convert_features(raw_features))
+    features = converters.run_features(roles.feature_log(spark, sf_dir), work_folder(spark, "feature_log"))
     return features.unionByName(
-        converters.eligible_metrics(raw_matched, converters.convert_eligible(raw_matched))
+        converters.run_eligible(roles.matched_users(spark, sf_dir), work_folder(spark, "eligible_user_data"))
     )
 
 
@@ -159,7 +158,10 @@ def left_enrich(spark, sf_dir):
         roles.impressions(spark, sf_dir, late=False), roles.impressions(spark, sf_dir, late=True)
     )
     bids = roles.bids(spark, sf_dir).select(*BID_COLUMNS)
-    rows = bids.join(feedback, "bid_request_id", "left").join(roles.contextual(spark, sf_dir), "contextual_id", "left")
+    hot = skew.find(bids, {"bid": ["bid_request_id"], "context": ["contextual_id"]})
+    rows = enrichment.join_reduced(bids, feedback, [("bid_request_id", "bid_request_id")], hot["bid"])
+    contexts = roles.contextual(spark, sf_dir)
+    rows = enrichment.join_reduced(rows, contexts, [("contextual_id", "contextual_id")], hot["context"])
     return rows.select(*BID_COLUMNS, "impression_id", "clearing_price", "content_category")
 
 
@@ -194,7 +196,8 @@ FROM bids b LEFT JOIN eligible e ON b.bid_request_id = e.bid_request_id AND b.us
 def left_enrich2(spark, sf_dir):
     bids = enrichment.prepare_bids(roles.bids(spark, sf_dir)).select(*BID_COLUMNS, "user_id_hash")
     eligible = converters.convert_eligible(roles.matched_users(spark, sf_dir))
-    rows = bids.join(eligible, ["bid_request_id", "user_id_hash"], "left")
+    keys = ["bid_request_id", "user_id_hash"]
+    rows = enrichment.join_reduced(bids, eligible, [(k, k) for k in keys], skew.find(bids, {"key": keys})["key"])
     return rows.select(*BID_COLUMNS, "segment_id", "eligible_user_flag", "eligibility_band", "frequency_bracket")
 
 
@@ -207,7 +210,8 @@ LEFT JOIN (SELECT DISTINCT user_id_hash, sib_group, sib_score, sib_source FROM s
 def dedup_then_join(spark, sf_dir):
     bids = enrichment.prepare_bids(roles.bids(spark, sf_dir)).select(*BID_COLUMNS, "user_id_hash")
     sib = enrichment.prepare_sib(roles.sib(spark, sf_dir))
-    rows = joins.left_many(bids, sib, [("user_id_hash", "sib_user_id_hash")])
+    hot = skew.find(bids, {"user": ["user_id_hash"]})["user"]
+    rows = enrichment.join_reduced(bids, sib, [("user_id_hash", "sib_user_id_hash")], hot)
     return rows.select(*BID_COLUMNS, "sib_group", "sib_score", "sib_source")
 
 
@@ -218,9 +222,10 @@ FROM bids b LEFT JOIN features f ON b.user_id_hash = f.user_id_hash AND b.contex
 GROUP BY ALL
 """)
 def feature_fanout_join(spark, sf_dir):
-    bids = enrichment.prepare_bids(roles.bids(spark, sf_dir))
+    bids = enrichment.prepare_bids(roles.bids(spark, sf_dir)).select(*BID_COLUMNS, "user_id_hash")
     features = enrichment.prepare_features(converters.convert_features(roles.feature_log(spark, sf_dir)))
-    rows = enrichment.join_features(bids.select("bid_request_id", "user_id_hash", "contextual_id"), features)
+    hot = skew.find(bids, {"user_context": enrichment.JOIN_KEYS["user_context"]})
+    rows = enrichment.join_features(bids, features, hot["user_context"])
     return rows.groupBy("bid_request_id", "contextual_id").agg(
         F.sum("joined_rows").alias("joined_rows"), F.sum("feature_events").alias("feature_events")
     )
@@ -388,7 +393,9 @@ def feature_interval_join(spark, sf_dir):
     )
     bought = events.filter("event_type = 'purchase'").drop("event_type")
     other = events.filter("event_type <> 'purchase'")
-    return joins.count_within(bought, other, ["user_id"], "at_second", "at_second", 86400)
+    return intervals.count_within(
+        bought, other, ["user_id"], "at_second", "at_second", 86400, spread_by=["event_id"]
+    )
 
 
 # --- enrichment aggregates --------------------------------------------------

@@ -147,9 +147,10 @@ def table_inventory(spark, sf_dir):
     reports = None
     for name, key in keys.items():
         df = table(spark, sf_dir, name)
-        approx = df.agg(F.approx_count_distinct(key).alias("approx_keys"))
-        report = files.file_inventory(df).withColumn("_one", F.lit(1)).join(approx.withColumn("_one", F.lit(1)), "_one")
-        report = report.select(F.lit(name).alias("table_name"), "files", "bytes", "rows", "approx_keys")
+        approx = df.agg(F.approx_count_distinct(key)).scalar()
+        report = files.file_inventory(df).select(
+            F.lit(name).alias("table_name"), "files", "bytes", "rows", approx.alias("approx_keys")
+        )
         reports = report if reports is None else reports.unionByName(report)
     return reports
 

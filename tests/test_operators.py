@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from bidloom.operators import dedup, fanout, joins, nullable, quality, salting, skew, sketches
+from bidloom.operators import dedup, fanout, intervals, joins, nullable, quality, salting, skew, sketches
 from bidloom.plans import remedies
 
 
@@ -38,15 +38,16 @@ def test_nullable_lookups(spark, join, limits):
 
 
 @pytest.mark.parametrize("seconds", [1, 7, 60])
-def test_count_within_against_brute_force(spark, seconds):
+@pytest.mark.parametrize("limits", [{}, {"hot_rows": 1, "small_input": 0}])
+def test_count_within_against_brute_force(spark, seconds, limits):
     rng = random.Random(seconds)
     # User 0 holds most of both sides.
     left = [(i, 0 if rng.random() < 0.6 else rng.randrange(4), rng.randrange(-50, 300)) for i in range(150)]
     right = [(0 if rng.random() < 0.6 else rng.randrange(4), rng.randrange(-50, 300)) for _ in range(250)] + [(None, 5)]
     want = {i: sum(u2 == u and t - seconds <= t2 <= t for u2, t2 in right) for i, u, t in left}
-    got = joins.count_within(
+    got = intervals.count_within(
         spark.createDataFrame(left, "i int, u int, at bigint"), spark.createDataFrame(right, "u int, at2 bigint"),
-        ["u"], "at", "at2", seconds)
+        ["u"], "at", "at2", seconds, ["i"], **limits)
     assert {r["i"]: r["matches"] for r in got.collect()} == want
 
 
