@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bidloom.operators.joins import equal_on
+from bidloom.session import materialize
 
 # Rows of one key that a task can take; a heavier key is split into pieces of about this size.
 HOT_ROWS = 1_000_000
@@ -40,10 +41,21 @@ class HotKeys:
         return number.otherwise(F.lit(1).cast("bigint"))
 
 
-def scanned_bytes(df: DataFrame) -> int:
-    """Size of the files or tables at the leaves of the plan."""
+def _leaf_bytes(df: DataFrame) -> list[int]:
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.length()))
+    return [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.length())]
+
+
+def worth_searching(df: DataFrame, small_input: int = SMALL_INPUT) -> bool:
+    """Whether the files or tables that `df` reads are large enough for a hot key to matter."""
+    return sum(_leaf_bytes(df)) >= small_input
+
+
+def written_once(df: DataFrame, small_input: int = SMALL_INPUT) -> DataFrame:
+    """`df`, stored first if it is large and derived from several tables: the search and the join both read it."""
+    if worth_searching(df, small_input) and len(_leaf_bytes(df)) > 1:
+        return materialize(df, "left")
+    return df
 
 
 def find(
@@ -57,7 +69,7 @@ def find(
     The frequent-items sketches merge like any partial aggregate, so no key is shuffled and the result is small
     whatever the data. Missing a key, or listing one too many, changes the spread of work and never the result.
     """
-    if scanned_bytes(df) < small_input:
+    if not worth_searching(df, small_input):
         return {name: HotKeys({}) for name in key_sets}
     hashed = df.select(*[F.xxhash64(*keys).alias(name) for name, keys in key_sets.items()])
     found = hashed.agg(*[F.expr(f"approx_top_k({name}, {REPORTED}, {TRACKED})").alias(name) for name in key_sets])

@@ -25,9 +25,12 @@ def ingest(
     source_format: str = "json",
     target_format: str = "parquet",
     mode: str = "append",
-    schema: T.StructType | None = None,
+    schema: T.StructType | str | None = None,
 ) -> None:
-    """One run of the job. A gzip file is one task to read, so the write regroups rows by date."""
+    """One run of the job; without a schema the files are read once more to infer it.
+
+    A gzip file is one task to read, so the write regroups rows by date.
+    """
     activity = scan_glob(spark, source, f"{pattern}-*", source_format, schema)
     write_dated(with_date_parts(activity), target, DATE_KEYS, target_format, mode)
 

@@ -8,6 +8,8 @@ capitals and blanks, so that normalising matters.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -143,11 +145,11 @@ def raw_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
 def job_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
     """The raw tables with both converters applied."""
     raw = raw_inputs(spark, sf_dir)
-    return Inputs(**{
-        **raw.__dict__,
-        "eligible": converters.convert_eligible(raw.eligible),
-        "features": converters.convert_features(raw.features),
-    })
+    return replace(
+        raw,
+        eligible=converters.convert_eligible(raw.eligible),
+        features=converters.convert_features(raw.features),
+    )
 
 
 # --- the same in SQL --------------------------------------------------------

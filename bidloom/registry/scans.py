@@ -65,7 +65,7 @@ def _landing(spark, sf_dir):
 
 def _ingested(spark, sf_dir):
     landing, target = _landing(spark, sf_dir), work_folder(spark, "activity")
-    ingest.ingest(spark, landing, "part", target)
+    ingest.ingest(spark, landing, "part", target, schema=ACTIVITY_SCHEMA)
     return landing, target
 
 
