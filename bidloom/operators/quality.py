@@ -117,10 +117,12 @@ def hot_keys(df: DataFrame, key: str, n: int, default: object | None = None) ->
 
 def late_feedback(same_hour: DataFrame, late_hour: DataFrame, kind: str) -> DataFrame:
     """Rows of each hour that carry the feedback type expected there."""
-    both = same_hour.select(kind).unionByName(late_hour.select(kind))
+    both = same_hour.select(kind, F.lit(False).alias("_late")).unionByName(
+        late_hour.select(kind, F.lit(True).alias("_late"))
+    )
     counted = both.agg(
-        F.count_if(F.col(kind) == "same_hour").alias("same_hour_rows"),
-        F.count_if(F.col(kind) == "late_n_plus_1").alias("late_n_plus_1_rows"),
+        F.count_if(~F.col("_late") & (F.col(kind) == "same_hour")).alias("same_hour_rows"),
+        F.count_if(F.col("_late") & (F.col(kind) == "late_n_plus_1")).alias("late_n_plus_1_rows"),
     )
     return long_metrics(counted, "late_feedback")
 

@@ -91,12 +91,15 @@ def left_join(
     """Left join whose hot left keys are spread over several tasks by a hash of other columns.
 
     The right rows of a hot key are repeated once per piece. Keep the right side small per key: one row is best.
+    Equal keys must hash alike, so both sides need the same types.
     """
+    for a, b in pairs:
+        if left.schema[a].dataType != right.schema[b].dataType:
+            raise TypeError(f"{a} and {b} differ in type: cast one of them first")
     if not hot.pieces:
         return left.join(right, equal_on(left, right, pairs, null_safe), "left")
     own = F.pmod(F.xxhash64(*spread_by), hot.split([F.col(a) for a, _ in pairs]))
-    same_type = [F.col(b).cast(left.schema[a].dataType) for a, b in pairs]
-    every = F.sequence(F.lit(0).cast("bigint"), hot.split(same_type) - 1)
+    every = F.sequence(F.lit(0).cast("bigint"), hot.split([F.col(b) for _, b in pairs]) - 1)
     salted_left = left.withColumn("_piece", own)
     salted_right = right.withColumn("_piece_r", F.explode(every))
     on = equal_on(salted_left, salted_right, pairs, null_safe) & (F.col("_piece") == F.col("_piece_r"))

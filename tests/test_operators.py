@@ -174,7 +174,7 @@ def test_salted_key(spark):
 @pytest.mark.parametrize("null_safe", [False, True])
 def test_hot_keys_are_split_and_the_join_is_the_same(spark, null_safe):
     left = spark.range(0, 30_000, 1, 8).select(
-        F.expr("CASE WHEN id % 3 = 0 THEN 7 WHEN id % 10 = 1 THEN NULL ELSE id % 500 END").cast("int").alias("k"), "id")
+        F.expr("CASE WHEN id % 3 = 0 THEN 7 WHEN id % 10 = 1 THEN NULL ELSE id % 500 END").cast("bigint").alias("k"), "id")
     right = spark.range(400).select(F.expr("nullif(id, 399)").alias("k2"), (F.col("id") * 3).alias("v"))
     hot = skew.find(left, {"k": ["k"]}, hot_rows=500, small_input=0)["k"]
     assert len(hot.pieces) == 2 and max(hot.pieces.values()) == 21
@@ -192,5 +192,18 @@ def test_hot_keys_are_split_and_the_join_is_the_same(spark, null_safe):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
+def test_keys_of_different_types_are_refused(spark):
+    left, right = spark.range(3).selectExpr("cast(id as int) AS k"), spark.range(3).selectExpr("id AS k2")
+    with pytest.raises(TypeError, match="k and k2"):
+        skew.left_join(left, right, [("k", "k2")], skew.HotKeys({}), ["k"])
+
+
+def test_late_feedback_counts_each_type_in_its_own_hour(spark):
+    same = spark.createDataFrame([("same_hour",), ("same_hour",), ("late_n_plus_1",)], "t string")
+    late = spark.createDataFrame([("late_n_plus_1",), ("same_hour",)], "t string")
+    found = {r["name"]: r["value"] for r in quality.late_feedback(same, late, "t").collect()}
+    assert found == {"same_hour_rows": 2, "late_n_plus_1_rows": 1}
+
+
 def test_small_inputs_are_not_searched(spark):
     assert skew.find(spark.range(100), {"k": ["id"]}, hot_rows=1)["k"].pieces == {}
