@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from bidloom.functions.scalars import surrogate_key
 from bidloom.operators import skew
-from bidloom.operators.joins import left_many
 
 Pairs = Sequence[tuple[str, str]]
 
@@ -38,6 +37,7 @@ def split_null_left(left: DataFrame, right: DataFrame, pairs: Pairs, spread_by:
         return reduce(Column.__and__, [F.col(n).isNotNull() for n in names])
 
     left_full, right_full = complete([a for a, _ in pairs]), complete([b for _, b in pairs])
-    plain = left_many(left.filter(left_full), right.filter(right_full), pairs)
-    rest = null_safe_left(left.filter(~left_full), right.filter(~right_full), pairs, spread_by, **limits)
+    hot = skew.find(left, {"key": [a for a, _ in pairs]}, **limits)["key"]
+    plain = skew.left_join(left.filter(left_full), right.filter(right_full), pairs, hot, spread_by)
+    rest = skew.left_join(left.filter(~left_full), right.filter(~right_full), pairs, hot, spread_by, null_safe=True)
     return plain.unionByName(rest)
