@@ -19,7 +19,8 @@ from bidloom.session import work_folder
 
 # Places kept when averaging in the registered queries: exact in both engines.
 DIGITS = 4
-GROUPS = "advertiser_id, campaign_id, contextual_id, final_frequency_bracket AS frequency_bracket, content_category, koa_group"
+GROUPS = ("advertiser_id, campaign_id, contextual_id, final_frequency_bracket AS frequency_bracket, content_category, "
+          "koa_group")
 GROUP_BY = "advertiser_id, campaign_id, contextual_id, final_frequency_bracket, content_category, koa_group"
 
 
@@ -56,7 +57,9 @@ def eligible_convert(spark, sf_dir):
     return converters.convert_eligible(roles.matched_users(spark, sf_dir))
 
 
-@register("prepare_bids", f"WITH {BIDS} SELECT * REPLACE (CAST(event_quality_score AS DOUBLE) AS event_quality_score) FROM bids")
+@register("prepare_bids", f"""
+WITH {BIDS} SELECT * REPLACE (CAST(event_quality_score AS DOUBLE) AS event_quality_score) FROM bids
+""")
 def prepare_bids(spark, sf_dir):
     out = enrichment.prepare_bids(roles.bids(spark, sf_dir))
     return out.withColumn("rounded_bid_time", F.col("rounded_bid_time").cast("timestamp_ntz"))
