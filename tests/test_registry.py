@@ -6,11 +6,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from bidloom.registry.catalog import ORACLES, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
           "conversations").split()
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -48,4 +48,4 @@ def test_entry(spark):
 
 
 def test_every_oracle_has_a_query():
-    assert set(ORACLES) <= set(QUERIES)
+    assert set(entry.oracle_sql()) <= set(entry.queries())
