@@ -102,3 +102,14 @@ def unfolded(df: DataFrame, count: str, step: int = 100_000) -> DataFrame:
     split = df.filter(F.col(count) > 0).withColumn(part, F.explode(F.sequence(F.lit(1).cast("bigint"), most)))
     here = F.least(F.lit(step).cast("bigint"), F.col(count) - (F.col(part) - 1) * step)
     return split.withColumn(one, F.explode(F.sequence(F.lit(1).cast("bigint"), here))).drop(part, one, count)
+
+
+def folded(rows: DataFrame, names: Sequence[str], key: str, repeats: str) -> DataFrame:
+    """One of each group of rows with equal `key`, as the columns `names`; `repeats` is the size of the row's group.
+
+    Rows that do not repeat are left alone; the others are reduced in the map tasks.
+    """
+    whole = fresh([*rows.columns, *names], "_whole")
+    once = rows.filter(F.col(repeats) == 1).select(*names)
+    often = rows.filter(F.col(repeats) > 1).groupBy(key).agg(F.first(F.struct(*names)).alias(whole))
+    return once.unionByName(often.select(f"{whole}.*"))

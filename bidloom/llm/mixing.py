@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bidloom.llm.common import as_text, attach, fresh, hex_number, md5_number, row_key, running_total, unfolded
+from bidloom.llm.common import as_text, attach, folded, fresh, hex_number, md5_number, row_key, running_total, unfolded
 from bidloom.session import materialize
 
 WEIGHTS = (5, 2, 1)
@@ -193,15 +193,13 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     Rows that repeat are folded before they meet, so a row may repeat any number of times. Extra columns stay.
     """
     names = docs.columns
-    key, drawn, repeats, whole = (fresh(names, n) for n in ("_mix_key", "_mix_drawn", "_mix_repeats", "_mix_row"))
+    key, drawn, repeats = (fresh(names, n) for n in ("_mix_key", "_mix_drawn", "_mix_repeats"))
     totals = plan(items_of(docs), **options).groupBy(F.col("row_key").alias(key)).agg(
         F.sum(F.size("draws") * F.col("times")).alias(drawn), F.sum("times").alias(repeats))
     totals = materialize(totals, "mix_draws")
     rows = attach(docs.withColumn(key, row_key(names)), totals, [key], repeats).filter(F.col(drawn) > 0)
-    once = rows.filter(F.col(repeats) == 1).select(*names, drawn)
-    often = rows.filter(F.col(repeats) > 1).groupBy(key, drawn).agg(F.first(F.struct(*names)).alias(whole))
-    often = often.select(f"{whole}.*", drawn)
-    return unfolded(once.unionByName(often), drawn).select(*names)
+    one = folded(rows, [*names, drawn], key, repeats)
+    return unfolded(one, drawn).select(*names)
 
 
 def arranged(rows: DataFrame, shard: str, seed: str = SEED) -> DataFrame:

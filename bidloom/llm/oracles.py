@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from bidloom.llm import licenses, secrets
+
 # The table of the half-byte CRC-32 is built from its polynomial; the text is folded nibble by nibble, low one first.
 RENDEZVOUS_SHARDS = """
 WITH RECURSIVE steps(i, bit, c) AS (
@@ -127,3 +129,92 @@ SELECT doc_id, size, source_size, target, CAST(size * draws AS BIGINT) AS taken,
          shards[len(list_filter(starts, lambda s: s <= k * blocks + block))]), ','), '') AS shards
 FROM drawn d LEFT JOIN starts s ON d.source IS NOT DISTINCT FROM s.source
 """
+
+
+def _words(text: str) -> str:
+    return "[" + ", ".join(f"'{w}'" for w in licenses.split_words(text)) + "]"
+
+
+_TEMPLATES = ", ".join(
+    f"({i}, '{t.label}', {str(t.exact).lower()}, {_words(t.text)})" for i, t in enumerate(licenses.TEMPLATES))
+
+LICENSE_SCAN = f"""
+WITH templates(template, label, exact, words) AS (VALUES {_TEMPLATES}),
+docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{licenses.UPPER}', '{licenses.LOWER}'),
+         '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words
+  FROM documents
+), blocks AS (
+  SELECT r, words[k * {licenses.STEP} + 1 : k * {licenses.STEP} + {licenses.BLOCK}] AS words
+  FROM (SELECT r, words, unnest(range((len(words) - 1) // {licenses.STEP} + 1)) AS k FROM docs WHERE len(words) > 0)
+), alike AS (
+  SELECT r, label, len(list_intersect(list_distinct(b.words), list_distinct(t.words))) / len(list_distinct(t.words)) AS score
+  FROM blocks b, templates t WHERE NOT exact
+), places AS (
+  SELECT r, label, i FROM (
+    SELECT r, label, t.words AS phrase, d.words, unnest(range(1, len(d.words) - len(t.words) + 2)) AS i
+    FROM docs d, templates t WHERE exact AND list_has_all(d.words, t.words)
+  ) WHERE words[i : i + len(phrase) - 1] = phrase
+), found AS (
+  SELECT r, label, score, NULL AS place FROM alike WHERE score >= {licenses.THRESHOLD}
+  UNION ALL SELECT r, label, 1.0, i - 1 FROM places
+)
+SELECT doc_id, CAST(len(any_value(words)) AS BIGINT) AS n_words, count(place) AS n_base,
+       CAST(min(place) AS BIGINT) AS first_word, CAST(max(place) AS BIGINT) AS last_word,
+       coalesce(string_agg(DISTINCT CASE WHEN place IS NOT NULL THEN label END, ',' ORDER BY CASE WHEN place IS NOT NULL THEN label END), '') AS base_labels,
+       coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') AS labels,
+       CAST(coalesce(max(score), 0.0) AS DOUBLE) AS score
+FROM docs LEFT JOIN found USING (r) GROUP BY r, doc_id
+"""
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _located(kind: str, rank: int, pattern: str) -> str:
+    """Matches of a pattern with their positions, from the lengths of the pieces between them."""
+    return f"""
+  SELECT r, '{kind}' AS kind, {rank} AS rank, found[i] AS value,
+         list_sum(list_transform(pieces[1:i], lambda p: length(p))) + coalesce(list_sum(list_transform(found[1:i - 1], lambda f: length(f))), 0) AS start
+  FROM (SELECT r, found, string_split_regex(text, {_quoted(pattern)}) AS pieces, unnest(range(1, len(found) + 1)) AS i
+        FROM (SELECT *, regexp_extract_all(text, {_quoted(pattern)}) AS found FROM docs) WHERE len(found) > 0)"""
+
+
+_HARMLESS = " OR ".join(
+    f"regexp_matches(value, {_quoted(p)})" for p in secrets.ALLOWED if "\\1" not in p) + (
+    " OR length(replace(lower(value), lower(value[1]), '')) = 0")
+_CLASSES = " ".join(
+    f"WHEN regexp_matches(value, {_quoted(shape)}) THEN CASE WHEN entropy >= {least} THEN '{name}' END"
+    for name, shape, least in secrets.CLASSES)
+_RANKS = " ".join(f"WHEN '{c[0]}' THEN {i + 3}" for i, c in enumerate(secrets.CLASSES))
+_BITS = f"""list_max(list_transform(range(1, length(value) - {secrets.WINDOW - 2}), lambda i:
+    list_sum(list_transform(map_values(list_histogram(string_split(substr(value, CAST(i AS INTEGER), {secrets.WINDOW}), ''))),
+      lambda c: -(c / {secrets.WINDOW}.0) * log2(c / {secrets.WINDOW}.0)))))"""
+
+SECRET_SCAN = f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+base AS ({_located("assign", 0, secrets.ASSIGN)}
+  UNION ALL {_located("access", 1, secrets.ACCESS)}
+  UNION ALL {_located("hex", 2, secrets.HEX)}
+), kept AS (
+  SELECT r, kind, rank, start, start + length(value) AS stop FROM base
+  WHERE kind <> 'assign' OR length(regexp_extract(value, {_quoted(secrets.ASSIGN)}, 2)) >= {secrets.ASSIGN_LEAST}
+), measured AS (
+  SELECT *, {_BITS} AS entropy FROM ({_located("candidate", 9, secrets.CANDIDATE)})
+), classed AS (
+  SELECT r, start, start + length(value) AS stop, CASE WHEN {_HARMLESS} THEN NULL {_CLASSES} END AS kind FROM measured
+), every AS (
+  SELECT *, true AS base FROM kept
+  UNION ALL SELECT r, kind, CASE kind {_RANKS} END, start, stop, false FROM classed WHERE kind IS NOT NULL
+), joined AS (
+  SELECT r, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+         count(*) FILTER (kind = 'hex') AS n_hex,
+         string_agg(kind || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT), ',' ORDER BY start, rank) FILTER (base) AS base,
+         string_agg(kind || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT), ',' ORDER BY start, rank) AS spans
+  FROM every GROUP BY r
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN joined USING (r)
+"""
