@@ -1,8 +1,8 @@
 """Order-free sums of doubles.
 
-A double sum depends on the order rows arrive in, so a retried task can change the last digits. Scaling to a
-long before summing keeps the aggregate exact, repeatable and on primitive longs (a decimal wider than
-18 digits would fall back to BigDecimal objects). Under ANSI an overflow raises instead of wrapping.
+A double sum depends on the order rows arrive in, so a retried task can change the last digits. Values are taken at
+PLACES decimal places, enough for any product of a price, a modifier and a score, and summed as decimals: the sum is
+exact, and the one division or rounding comes at the end.
 """
 
 from __future__ import annotations
@@ -10,25 +10,35 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+PLACES = 12
 
-def to_fixed(value: Column, digits: int) -> Column:
-    return F.floor(value * F.lit(float(10**digits)) + F.lit(0.5))
 
+def units(value: Column) -> Column:
+    """The value in units of the last place; values up to nine million fit."""
+    return F.floor(value * F.lit(10.0**PLACES) + F.lit(0.5)).cast("decimal(20,0)")
 
-def money_sum(value: Column, digits: int = 4, shown: int = 2) -> Column:
-    """Exact sum of a double at `digits` places, rounded half up to `shown` places."""
-    total = F.sum(to_fixed(value, digits)).cast("decimal(20,0)")
-    return F.round(total / F.lit(10**digits).cast("decimal(10,0)"), shown).cast("double")
 
+def money_sum(value: Column, shown: int = 2) -> Column:
+    """Sum of the values at eight places, rounded half up to `shown` places once, at the end."""
+    return F.round(F.sum(value.cast("decimal(28,8)")), shown).cast("double")
 
-def mean(value: Column, weight: Column | None = None, digits: int | None = None) -> Column:
-    """Mean that skips nulls; each row counts `weight` times.
 
-    `digits=None` sums doubles as avg() does; otherwise values are fixed at that many places first.
-    """
+def weighted_units(value: Column, weight: Column) -> Column:
+    """Sum of the units of rows that count `weight` times."""
+    return F.sum(units(value) * weight.cast("decimal(17,0)"))
+
+
+def present(value: Column, weight: Column) -> Column:
+    """Rows with a value, each counted `weight` times."""
+    return F.sum(F.when(value.isNotNull(), weight).otherwise(F.lit(0)).cast("decimal(28,0)"))
+
+
+def quotient(total: Column, count: Column) -> Column:
+    """The mean from a sum of units and a count; null for none."""
+    return total.cast("double") / F.nullif(count.cast("double") * F.lit(10.0**PLACES), F.lit(0.0))
+
+
+def mean(value: Column, weight: Column | None = None) -> Column:
+    """Mean that skips nulls; each row counts `weight` times."""
     weight = F.lit(1).cast("bigint") if weight is None else weight
-    present = F.sum(F.when(value.isNotNull(), weight).otherwise(F.lit(0)))
-    if digits is None:
-        return F.sum(value * weight) / F.nullif(present, F.lit(0))
-    total = F.sum(to_fixed(value, digits) * weight).cast("double")
-    return total / F.nullif(present.cast("double") * F.lit(float(10**digits)), F.lit(0.0))
+    return quotient(weighted_units(value, weight), present(value, weight))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bidloom import fixed_values as fv
-from bidloom.functions.fixed_point import mean, to_fixed
+from bidloom.functions.fixed_point import mean, present, quotient, weighted_units
 from bidloom.functions.scalars import composite_key, murmur_salt
 
 # Averages of the enrichment output and the column each is taken over.
@@ -39,26 +39,22 @@ def counts(weight: Column) -> list[Column]:
     ]
 
 
-def averages(weight: Column, digits: int | None) -> list[Column]:
-    return [mean(F.col(source), weight, digits).alias(name) for name, source in AVERAGED.items()]
+def averages(weight: Column) -> list[Column]:
+    return [mean(F.col(source), weight).alias(name) for name, source in AVERAGED.items()]
 
 
-def salted_partials(rows: DataFrame, keys: list[str], weight: Column, digits: int | None) -> DataFrame:
+def salted_partials(rows: DataFrame, keys: list[str], weight: Column) -> DataFrame:
     """Per key and salt: counters, and for each average its sum and its weight, which add up."""
     parts = []
     for name, source in AVERAGED.items():
-        value = F.col(source)
-        number = value if digits is None else to_fixed(value, digits)
-        parts.append(F.sum(number * weight).alias(f"{name}_sum"))
-        parts.append(F.sum(F.when(value.isNotNull(), weight).otherwise(F.lit(0))).alias(f"{name}_weight"))
+        parts.append(weighted_units(F.col(source), weight).alias(f"{name}_sum"))
+        parts.append(present(F.col(source), weight).alias(f"{name}_weight"))
     return rows.groupBy(*keys, "salt").agg(*counts(weight), *parts)
 
 
-def merge_salts(partials: DataFrame, keys: list[str], digits: int | None) -> DataFrame:
+def merge_salts(partials: DataFrame, keys: list[str]) -> DataFrame:
     """One row per key. Distinct bids add up because the salt is a function of the bid."""
-    scale = 1.0 if digits is None else float(10**digits)
     merged = [F.sum(name).alias(name) for name in COUNTED]
     for name in AVERAGED:
-        weight = F.sum(f"{name}_weight").cast("double") * F.lit(scale)
-        merged.append((F.sum(f"{name}_sum").cast("double") / F.nullif(weight, F.lit(0.0))).alias(name))
+        merged.append(quotient(F.sum(f"{name}_sum"), F.sum(f"{name}_weight")).alias(name))
     return partials.groupBy(*keys).agg(*merged)

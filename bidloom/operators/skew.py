@@ -17,16 +17,15 @@ from bidloom.session import materialize
 
 # Rows of one key that a task can take; a heavier key is split into pieces of about this size.
 HOT_ROWS = 1_000_000
-# Below this much input no key can overload a task, and looking for one would cost more than it saves.
-SMALL_INPUT = 1024**3
-# Keys the sketch follows and keys it may report. A key with 1/20000 of the rows cannot escape it.
-TRACKED = 100_000
-REPORTED = 10_000
+# Keys that a sketch follows: one with 1/TRACKED of the rows cannot escape it. A lighter one may; that costs time only.
+TRACKED = 20_000
+# Sketches that the last merge reads, however many map tasks there are.
+GROUPS = 64
 
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Hashes of hot keys and the number of pieces for each; at most REPORTED entries."""
+    """Hashes of hot keys and the number of pieces for each; at most TRACKED entries."""
 
     pieces: Mapping[int, int]
 
@@ -41,43 +40,31 @@ class HotKeys:
         return number.otherwise(F.lit(1).cast("bigint"))
 
 
-def _leaf_bytes(df: DataFrame) -> list[int]:
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.length())]
+def written_once(df: DataFrame) -> DataFrame:
+    """`df`, stored: the search and the join both read it."""
+    return materialize(df, "left")
 
 
-def worth_searching(df: DataFrame, small_input: int = SMALL_INPUT) -> bool:
-    """Whether the files or tables that `df` reads are large enough for a hot key to matter."""
-    return sum(_leaf_bytes(df)) >= small_input
+def group_sketches(df: DataFrame, key_sets: Mapping[str, Sequence[str]]) -> DataFrame:
+    """At most GROUPS rows with a frequent-items sketch for each key set: the first level of the merge."""
+    hashed = df.select(F.pmod(F.spark_partition_id(), F.lit(GROUPS)).alias("_group"),
+                       *[F.xxhash64(*keys).alias(name) for name, keys in key_sets.items()])
+    return hashed.groupBy("_group").agg(
+        *[F.expr(f"approx_top_k_accumulate({name}, {TRACKED})").alias(name) for name in key_sets])
 
 
-def written_once(df: DataFrame, small_input: int = SMALL_INPUT) -> DataFrame:
-    """`df`, stored first if it is large and derived from several tables: the search and the join both read it."""
-    if worth_searching(df, small_input) and len(_leaf_bytes(df)) > 1:
-        return materialize(df, "left")
-    return df
+def find(df: DataFrame, key_sets: Mapping[str, Sequence[str]], hot_rows: int = HOT_ROWS) -> dict[str, HotKeys]:
+    """Hot keys of several key sets from one pass over their columns, whatever the size of `df`.
 
-
-def find(
-    df: DataFrame,
-    key_sets: Mapping[str, Sequence[str]],
-    hot_rows: int = HOT_ROWS,
-    small_input: int = SMALL_INPUT,
-) -> dict[str, HotKeys]:
-    """Hot keys of several key sets from one pass over their columns.
-
-    The frequent-items sketches merge like any partial aggregate, so no key is shuffled and the result is small
-    whatever the data. Missing a key, or listing one too many, changes the spread of work and never the result.
+    The map tasks' sketches are merged by group and then once, so the last task reads a fixed number of them. No key
+    is shuffled, and only keys over `hot_rows` come to the driver. Missing a key, or listing one too many, changes the
+    spread of work and never the result.
     """
-    if not worth_searching(df, small_input):
-        return {name: HotKeys({}) for name in key_sets}
-    hashed = df.select(*[F.xxhash64(*keys).alias(name) for name, keys in key_sets.items()])
-    found = hashed.agg(*[F.expr(f"approx_top_k({name}, {REPORTED}, {TRACKED})").alias(name) for name in key_sets])
-    row = found.first()
-    return {
-        name: HotKeys({r["item"]: -(-r["count"] // hot_rows) for r in row[name] or [] if r["count"] > hot_rows})
-        for name in key_sets
-    }
+    merged = group_sketches(df, key_sets).agg(
+        *[F.expr(f"filter(approx_top_k_estimate(approx_top_k_combine({name}, {TRACKED}), {TRACKED}), "
+                 f"k -> k.count > {hot_rows})").alias(name) for name in key_sets])
+    row = merged.first()
+    return {name: HotKeys({r["item"]: -(-r["count"] // hot_rows) for r in row[name] or []}) for name in key_sets}
 
 
 def left_join(

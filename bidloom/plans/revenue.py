@@ -27,17 +27,11 @@ def daily_product_revenue(orders: DataFrame, items: DataFrame) -> DataFrame:
     return revenue.orderBy(F.asc(day), F.desc(amount), *rest)
 
 
-REVENUE_SELECT = """
-SELECT o.order_date, o.order_status, i.order_item_product_id,
-       round(sum(i.order_item_subtotal), 2) AS revenue
-FROM order_items i JOIN orders o ON o.order_id = i.order_item_order_id
-GROUP BY ALL
-ORDER BY o.order_date, revenue DESC
-"""
-
-
-def revenue_from_json(spark: SparkSession, variables: dict[str, str], database: str | None = None) -> None:
-    """The script form: views over JSON folders, result written as JSON.
+def script_from_json(
+    spark: SparkSession, select: str, variables: dict[str, str], views: tuple[str, ...] = ("orders", "order_items"),
+    database: str | None = None,
+) -> None:
+    """The script form: views over JSON folders, the result of `select` written as JSON.
 
     `variables` must give retail.in and retail.out; ${...} in the text is filled in by Spark.
     """
@@ -45,8 +39,8 @@ def revenue_from_json(spark: SparkSession, variables: dict[str, str], database:
         if database:
             spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
             spark.sql(f"USE {database}")
-        for view in ("orders", "order_items"):
+        for view in views:
             spark.sql(
                 f"CREATE OR REPLACE TEMPORARY VIEW {view} USING JSON OPTIONS (path='${{retail.in}}/{view}')"
             )
-        overwrite_directory(spark, "${retail.out}", REVENUE_SELECT)
+        overwrite_directory(spark, "${retail.out}", select)

@@ -17,8 +17,6 @@ from bidloom.registry.roles import (
 )
 from bidloom.session import work_folder
 
-# Places kept when averaging in the registered queries: exact in both engines.
-DIGITS = 4
 GROUPS = ("advertiser_id, campaign_id, contextual_id, final_frequency_bracket AS frequency_bracket, content_category, "
           "koa_group")
 GROUP_BY = "advertiser_id, campaign_id, contextual_id, final_frequency_bracket, content_category, koa_group"
@@ -28,8 +26,7 @@ GROUP_BY = "advertiser_id, campaign_id, contextual_id, final_frequency_bracket,
 
 @register("daily_product_revenue", """
 SELECT CAST(o_orderdate AS DATE) AS order_date, o_orderstatus AS order_status, l_partkey AS product_id,
-       CAST(round(sum(CAST(floor(l_extendedprice * (1 - l_discount) * 10000 + 0.5) AS BIGINT))::DECIMAL(20,0)
-            * 0.0001, 2) AS DOUBLE) AS revenue
+       CAST(round(sum(CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(28,8))), 2) AS DOUBLE) AS revenue
 FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL ORDER BY order_date, revenue DESC
 """)
 def daily_product_revenue(spark, sf_dir):
@@ -371,7 +368,7 @@ def feature_latest(spark, sf_dir):
 @register("feature_preagg", """
 SELECT o_orderkey, o_custkey, events, total, types FROM orders LEFT JOIN (
   SELECT user_id, count(*) AS events, count(DISTINCT event_type) AS types,
-         CAST(round(sum(CAST(floor(value * 10000 + 0.5) AS BIGINT))::DECIMAL(20,0) * 0.0001, 2) AS DOUBLE) AS total
+         CAST(round(sum(CAST(value AS DECIMAL(28,8))), 2) AS DOUBLE) AS total
   FROM events GROUP BY user_id) ON o_custkey = user_id
 """)
 def feature_preagg(spark, sf_dir):
@@ -384,20 +381,41 @@ def feature_preagg(spark, sf_dir):
 
 
 @register("feature_interval_join", """
-WITH e AS (SELECT event_id, user_id, event_type, CAST(floor(epoch(ts)) AS BIGINT) AS at_second FROM events)
-SELECT p.event_id, p.user_id, p.at_second, count(v.event_id) AS matches
+WITH e AS (SELECT event_id, user_id, event_type, epoch_us(ts) AS at_micro FROM events)
+SELECT p.event_id, p.user_id, p.at_micro, count(v.event_id) AS matches
 FROM e p LEFT JOIN e v ON v.event_type <> 'purchase' AND p.user_id = v.user_id
-  AND v.at_second BETWEEN p.at_second - 86400 AND p.at_second
+  AND v.at_micro BETWEEN p.at_micro - 86400000000 AND p.at_micro
 WHERE p.event_type = 'purchase' GROUP BY ALL
 """)
 def feature_interval_join(spark, sf_dir):
+    bought, other = _purchases_and_others(spark, sf_dir)
+    return intervals.count_within(
+        bought, other.drop("event_type", "value"), ["user_id"], "at_micro", "at_micro", 86400, spread_by=["event_id"]
+    )
+
+
+def _purchases_and_others(spark, sf_dir):
     events = table(spark, sf_dir, "events").select(
-        "event_id", "user_id", "event_type", F.unix_seconds(F.col("ts").cast("timestamp")).alias("at_second")
+        "event_id", "user_id", "event_type", "value", F.unix_micros(F.col("ts").cast("timestamp")).alias("at_micro")
     )
-    bought = events.filter("event_type = 'purchase'").drop("event_type")
-    other = events.filter("event_type <> 'purchase'")
-    return intervals.count_within(
-        bought, other, ["user_id"], "at_second", "at_second", 86400, spread_by=["event_id"]
+    bought = events.filter("event_type = 'purchase'").select("event_id", "user_id", "at_micro")
+    return bought, events.filter("event_type <> 'purchase'").drop("event_id")
+
+
+@register("feature_latest_join", """
+WITH e AS (SELECT event_id, user_id, event_type, value, epoch_us(ts) AS at_micro FROM events),
+m AS (SELECT p.event_id, max((v.at_micro, v.event_type, v.value)) AS best
+      FROM e p JOIN e v ON v.event_type <> 'purchase' AND p.user_id = v.user_id
+        AND v.at_micro BETWEEN p.at_micro - 86400000000 AND p.at_micro
+      WHERE p.event_type = 'purchase' GROUP BY p.event_id)
+SELECT p.event_id, p.user_id, p.at_micro, best[1] AS feature_micro, best[2] AS event_type, best[3] AS value
+FROM e p LEFT JOIN m USING (event_id) WHERE p.event_type = 'purchase'
+""")
+def feature_latest_join(spark, sf_dir):
+    bought, other = _purchases_and_others(spark, sf_dir)
+    return intervals.latest_within(
+        bought, other.withColumnRenamed("at_micro", "feature_micro"), ["user_id"], "at_micro", "feature_micro", 86400,
+        spread_by=["event_id"]
     )
 
 
@@ -409,7 +427,7 @@ SELECT {GROUPS}, CAST(NULL AS INTEGER) AS salt, 'low_frequency_hash' AS branch,
 FROM joined WHERE NOT is_high_frequency GROUP BY {GROUP_BY}
 """)
 def low_freq_agg(spark, sf_dir):
-    return enrichment.low_frequency(enrichment.enrich(roles.job_inputs(spark, sf_dir)), DIGITS)
+    return enrichment.low_frequency(enrichment.enrich(roles.job_inputs(spark, sf_dir)))
 
 
 MURMUR = roles.sql_murmur_salts("joined", "bid_request_id")
@@ -421,14 +439,14 @@ FROM joined JOIN salts USING (bid_request_id) WHERE is_high_frequency GROUP BY {
 
 @register("high_freq_salted_agg", f"WITH {JOINED}, {MURMUR} {HIGH_SQL}")
 def high_freq_salted_agg(spark, sf_dir):
-    return enrichment.high_frequency(enrichment.enrich(roles.job_inputs(spark, sf_dir)), DIGITS)
+    return enrichment.high_frequency(enrichment.enrich(roles.job_inputs(spark, sf_dir)))
 
 
 @register("salt_merge_agg", f"""
 WITH {JOINED} SELECT {GROUPS}, {METRICS} FROM joined WHERE is_high_frequency GROUP BY {GROUP_BY}
 """)
 def salt_merge_agg(spark, sf_dir):
-    return enrichment.merged_output(enrichment.enrich(roles.job_inputs(spark, sf_dir)), DIGITS)
+    return enrichment.merged_output(enrichment.enrich(roles.job_inputs(spark, sf_dir)))
 
 
 @register("enrichment_final", f"""
@@ -438,7 +456,7 @@ SELECT {GROUPS}, CAST(NULL AS INTEGER) AS salt, 'low_frequency_hash' AS branch,
 FROM joined WHERE NOT is_high_frequency GROUP BY {GROUP_BY}
 """)
 def enrichment_final(spark, sf_dir):
-    return enrichment.final_output(roles.job_inputs(spark, sf_dir), DIGITS)
+    return enrichment.final_output(roles.job_inputs(spark, sf_dir))
 
 
 PORTABLE = "CAST(CAST('0x' || substr(md5(CAST(bid_request_id AS VARCHAR)), 1, 8) AS BIGINT) % 16 AS INTEGER)"
@@ -452,7 +470,7 @@ FROM joined WHERE is_high_frequency IS NOT NULL GROUP BY {GROUP_BY}, 7, 8
 """)
 def enrichment_final_portable(spark, sf_dir):
     return enrichment.final_output(
-        roles.job_inputs(spark, sf_dir), DIGITS, salt=s.portable_salt("bid_request_id", fv.SALT_BUCKETS)
+        roles.job_inputs(spark, sf_dir), salt=s.portable_salt("bid_request_id", fv.SALT_BUCKETS)
     )
 
 
@@ -483,4 +501,4 @@ SELECT 'enrichment', 'final_output_count', count(*) FROM (
   SELECT DISTINCT {GROUPS}, NULL, is_high_frequency FROM joined WHERE NOT is_high_frequency)
 """)
 def pipeline_metrics(spark, sf_dir):
-    return enrichment.run_job(roles.job_inputs(spark, sf_dir), work_folder(spark, "final"), DIGITS)
+    return enrichment.run_job(roles.job_inputs(spark, sf_dir), work_folder(spark, "final"))

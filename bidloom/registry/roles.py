@@ -297,10 +297,10 @@ joined AS (
       ON b.user_id_hash = sb.user_id_hash))"""
 
 
-def sql_mean(value: str, digits: int = 4) -> str:
-    """Mean over values fixed at `digits` places."""
-    total = f"sum(CAST(floor({value} * 1e{digits} + 0.5) AS BIGINT))"
-    return f"CAST({total} AS DOUBLE) / nullif(CAST(count({value}) AS DOUBLE) * 1e{digits}, 0)"
+def sql_mean(value: str) -> str:
+    """Mean from an exact sum at twelve places."""
+    total = f"sum(CAST(floor({value} * 1e12 + 0.5) AS HUGEINT))"
+    return f"CAST({total} AS DOUBLE) / nullif(CAST(count({value}) AS DOUBLE) * 1e12, 0)"
 
 
 METRICS = f"""

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from bidloom.functions import scalars as s
 from bidloom.operators import sketches
-from bidloom.plans import ingest
+from bidloom.plans import ingest, revenue
 from bidloom.registry import roles
 from bidloom.registry.base import register, table
 from bidloom.session import sql_variables, work_folder
@@ -125,9 +125,13 @@ def write_roundtrip(spark, sf_dir):
     return spark.read.schema(orders.schema).parquet(path)
 
 
-@register("codec_compare")
+@register("codec_compare", """
+SELECT unnest(['snappy', 'gzip', 'zstd']) AS codec, (SELECT count(*) FROM lineitem) AS rows, true AS has_bytes
+""")
 def codec_compare(spark, sf_dir):
-    return sinks.compare_codecs(table(spark, sf_dir, "lineitem"), work_folder(spark, "codecs"))
+    """Rows read back from each codec's files; how many bytes these take is the operator's, not a matter of SQL."""
+    report = sinks.compare_codecs(table(spark, sf_dir, "lineitem"), work_folder(spark, "codecs"))
+    return report.select("codec", "rows", (F.col("bytes") > 0).alias("has_bytes"))
 
 
 @register("clustered_write", """
@@ -141,15 +145,25 @@ def clustered_write(spark, sf_dir):
     )
 
 
-@register("table_inventory")
+INVENTORY_KEYS = {
+    "region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey", "supplier": "s_suppkey",
+    "part": "p_partkey", "orders": "o_custkey", "lineitem": "l_orderkey", "events": "user_id", "documents": "doc_id",
+    "embeddings": "vec_id", "pages": "page_id", "benchmark": "item_id", "labels": "doc_id",
+    "conversations": "conv_id",
+}
+
+
+@register("table_inventory", " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, count(*) AS rows, count(DISTINCT {key}) AS keys, true AS has_bytes FROM {name}"
+    for name, key in INVENTORY_KEYS.items()))
 def table_inventory(spark, sf_dir):
-    keys = {"orders": "o_custkey", "lineitem": "l_orderkey", "events": "user_id", "customer": "c_custkey"}
+    """Rows and exact keys of every given table; the file count and bytes are the operator's, not a matter of SQL."""
     reports = None
-    for name, key in keys.items():
+    for name, key in INVENTORY_KEYS.items():
         df = table(spark, sf_dir, name)
-        approx = df.agg(F.approx_count_distinct(key)).scalar()
+        keys = df.select(key).where(F.col(key).isNotNull()).groupBy(key).count().agg(F.count(F.lit(1))).scalar()
         report = files.file_inventory(df).select(
-            F.lit(name).alias("table_name"), "files", "bytes", "rows", approx.alias("approx_keys")
+            F.lit(name).alias("table_name"), "rows", keys.alias("keys"), (F.col("bytes") > 0).alias("has_bytes")
         )
         reports = report if reports is None else reports.unionByName(report)
     return reports
@@ -256,25 +270,44 @@ def register_merge(spark, sf_dir):
     return merged.select("label", F.array_join(F.col("registers").cast("array<string>"), ",").alias("registers"))
 
 
-@register("distinct_sketch")
+@register("distinct_sketch", """
+SELECT event_type, count(DISTINCT user_id) AS users, true AS within_error FROM events GROUP BY event_type
+""")
 def distinct_sketch(spark, sf_dir):
-    days = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
-    return sketches.merge_sketches(sketches.distinct_sketches(days, ["day", "event_type"], "user_id"), ["event_type"])
+    """Exact distinct users beside the merged sketch: within five standard errors, 1.04 / sqrt(registers) each."""
+    events = table(spark, sf_dir, "events")
+    daily = sketches.distinct_sketches(events.withColumn("day", F.to_date("ts")), ["day", "event_type"], "user_id")
+    merged = sketches.merge_sketches(daily, ["event_type"])
+    exact = events.groupBy("event_type").agg(F.count_distinct("user_id").alias("users"))
+    return _beside(exact.join(merged, "event_type"), "users", "distinct_estimate", 5 * 1.04 / 2**6).drop("distinct_estimate")
+
 
+def _beside(df, exact, estimate, error):
+    return df.withColumn("within_error", F.abs(F.col(estimate) - F.col(exact)) <= F.ceil(F.col(exact) * error))
 
-@register("approx_keys")
+
+@register("approx_keys", """
+SELECT unnest(['l_orderkey', 'l_partkey']) AS key, unnest([count(DISTINCT l_orderkey), count(DISTINCT l_partkey)]) AS keys,
+       true AS within_error
+FROM lineitem
+""")
 def approx_keys(spark, sf_dir):
-    return table(spark, sf_dir, "lineitem").agg(
-        F.approx_count_distinct("l_orderkey").alias("orders"), F.approx_count_distinct("l_partkey").alias("parts")
-    )
+    """Exact distinct keys beside the approximate count: within five of its standard errors of 5 %."""
+    lines = table(spark, sf_dir, "lineitem")
+
+    def one(key):
+        exact = lines.groupBy(key).count().agg(F.count(F.lit(1)).alias("keys"))
+        both = exact.withColumn("estimate", lines.agg(F.approx_count_distinct(key)).scalar())
+        return _beside(both, "keys", "estimate", 0.25).select(F.lit(key).alias("key"), "keys", "within_error")
+
+    return one("l_orderkey").unionByName(one("l_partkey"))
 
 
 # --- templated SQL ----------------------------------------------------------
 
 @register("daily_revenue_param", """
 SELECT CAST(o_orderdate AS DATE) AS order_date, o_orderstatus AS order_status, l_partkey AS product_id,
-       CAST(round(sum(CAST(floor(l_extendedprice * (1 - l_discount) * 10000 + 0.5) AS BIGINT))::DECIMAL(20,0)
-            * 0.0001, 2) AS DOUBLE) AS revenue
+       CAST(round(sum(CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(28,8))), 2) AS DOUBLE) AS revenue
 FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL
 """)
 def daily_revenue_param(spark, sf_dir):
@@ -287,8 +320,44 @@ def daily_revenue_param(spark, sf_dir):
         return spark.sql("""
             SELECT CAST(o.o_orderdate AS DATE) AS order_date, o.o_orderstatus AS order_status,
                    i.l_partkey AS product_id,
-                   CAST(round(CAST(sum(floor(i.l_extendedprice * (1 - i.l_discount) * 10000D + 0.5D))
-                        AS DECIMAL(20,0)) * 0.0001, 2) AS DOUBLE) AS revenue
+                   CAST(round(sum(CAST(i.l_extendedprice * (1 - i.l_discount) AS DECIMAL(28,8))), 2) AS DOUBLE)
+                     AS revenue
             FROM param_orders o JOIN param_lineitem i ON o.o_orderkey = i.l_orderkey
             GROUP BY ALL ORDER BY order_date, revenue DESC, order_status, product_id
         """)
+
+
+@register("revenue_script", """
+SELECT strftime(o_orderdate, '%Y-%m-%d') AS day, o_orderstatus AS status, l_partkey AS product,
+       CAST(round(sum(CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(28,8))), 2) AS DOUBLE) AS revenue
+FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL
+""")
+def revenue_script(spark, sf_dir):
+    """Both tables as JSON folders, the script over views of them, and its output directory read back."""
+    landing, out = work_folder(spark, "retail"), work_folder(spark, "retail-out")
+    table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("id"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"),
+        F.col("o_orderstatus").alias("status")).write.json(f"{landing}/orders")
+    table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product"),
+        (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("subtotal")).write.json(f"{landing}/order_items")
+    revenue.script_from_json(spark, """
+        SELECT day, status, product, CAST(round(sum(CAST(subtotal AS DECIMAL(28,8))), 2) AS DOUBLE) AS revenue
+        FROM order_items JOIN orders ON id = order_id GROUP BY day, status, product
+    """, {"retail.in": landing, "retail.out": out})
+    return spark.read.schema("day string, status string, product bigint, revenue double").json(out)
+
+
+@register("late_hour_scan", """
+SELECT strftime(ts, '%H') AS hour, count(*) AS rows, CAST(sum(event_id) AS BIGINT) AS id_sum FROM events
+WHERE CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events) AND hour(ts) IN (10, 11) GROUP BY 1
+""")
+def late_hour_scan(spark, sf_dir):
+    """A regular hour of the last day and the late hour after it: only these two folders are listed and read."""
+    parts = {"year": "yyyy", "month": "MM", "day": "dd", "hour": "HH"}
+    events = table(spark, sf_dir, "events").withColumns({n: F.date_format("ts", f) for n, f in parts.items()})
+    path = files.table_path(work_folder(spark, "raw"), "raw", "hourly_events")
+    sinks.write_dated(events, path, list(parts))
+    last = table(spark, sf_dir, "events").agg(F.date_format(F.max("ts"), "yyyy-MM-dd")).first()[0]
+    read = files.scan_partitions(spark, path, last, ("10", "11"))
+    return read.groupBy("hour").agg(F.count(F.lit(1)).alias("rows"), F.sum("event_id").alias("id_sum"))

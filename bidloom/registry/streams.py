@@ -10,15 +10,15 @@ from bidloom.streaming import late_feedback
 
 
 @register("stream_tumbling_counts", """
-WITH b AS (SELECT make_timestamp(CAST(floor(epoch(ts) / 300) * 300 AS BIGINT) * 1000000) AS bucket_start,
-                  count(*) AS rows FROM events GROUP BY 1)
-SELECT * FROM b WHERE bucket_start + INTERVAL 5 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR
+SELECT make_timestamp(CAST(floor(epoch(ts) / 300) * 300 AS BIGINT) * 1000000) AS bucket_start, count(*) AS rows
+FROM events GROUP BY 1
 """)
 def stream_tumbling_counts(spark, sf_dir):
-    """Buckets that the watermark has closed; the last hour's are still open."""
+    """Every bucket of the input, the last, still open ones included."""
     schema = table(spark, sf_dir, "events").schema
     events = spark.readStream.schema(schema).parquet(f"{sf_dir.rstrip('/')}/events.parque[t]")
     target, state = work_folder(spark, "buckets"), work_folder(spark, "buckets-state")
     counted = late_feedback.tumbling_counts(events.withColumn("ts", F.col("ts").cast("timestamp")), "ts", "1 hour")
-    late_feedback.run_available(counted, target, state)
-    return spark.read.parquet(target).withColumn("bucket_start", F.col("bucket_start").cast("timestamp_ntz"))
+    late_feedback.run_updates(counted, target, state)
+    written = late_feedback.latest_updates(spark.read.parquet(target), ["bucket_start"])
+    return written.withColumn("bucket_start", F.col("bucket_start").cast("timestamp_ntz"))

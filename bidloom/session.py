@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -11,15 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def work_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder that every executor can reach, under the cluster's checkpoint directory.
+    """A new folder that every executor can reach: under spark.checkpoint.dir, or else under the warehouse.
 
-    Only a local session without that setting (tests) gets a machine-local folder.
+    The caller's session owns what is written there. The library deletes nothing, because a returned DataFrame may
+    still read it; clear the folder when the session's results have been stored.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="bidloom-")
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/_work"
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 

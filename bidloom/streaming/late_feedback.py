@@ -9,7 +9,8 @@ from bidloom import fixed_values as fv
 
 
 def tumbling_counts(events: DataFrame, ts: str, delay: str, minutes: int = fv.TIME_BUCKET_MINUTES) -> DataFrame:
-    """Rows per time bucket; a bucket is emitted once, when the watermark has passed its end."""
+    """Rows per time bucket. In append mode a bucket is emitted once, when the watermark has passed its end; in update
+    mode whenever it has grown, so that a finished input leaves none out."""
     return (
         events.withWatermark(ts, delay)
         .groupBy(F.window(ts, f"{minutes} minutes").alias("bucket"))
@@ -46,3 +47,22 @@ def run_available(stream: DataFrame, target: str, checkpoint: str) -> None:
         .trigger(availableNow=True).start()
     )
     query.awaitTermination()
+
+
+def run_updates(stream: DataFrame, target: str, checkpoint: str) -> None:
+    """Process what has arrived in update mode; every batch's changed rows are appended with the batch's number."""
+    def keep(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{target}/batch={number}")
+
+    query = (
+        stream.writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+
+
+def latest_updates(written: DataFrame, keys: list[str]) -> DataFrame:
+    """The last state of each key from what `run_updates` has written."""
+    values = [c for c in written.columns if c not in (*keys, "batch")]
+    last = F.max_by(F.struct(*values), F.col("batch").cast("bigint")).alias("_last")
+    return written.groupBy(*keys).agg(last).select(*keys, "_last.*")

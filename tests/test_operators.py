@@ -26,7 +26,7 @@ def test_keep_extreme_needs_no_window(spark):
 
 
 @pytest.mark.parametrize("join", [nullable.null_safe_left, nullable.surrogate_left, nullable.split_null_left])
-@pytest.mark.parametrize("limits", [{}, {"hot_rows": 1, "small_input": 0}])
+@pytest.mark.parametrize("limits", [{}, {"hot_rows": 1}])
 def test_nullable_lookups(spark, join, limits):
     left = spark.createDataFrame([(1, "a", None), (2, None, None), (3, "a", "b"), (4, "c", "d"), (5, None, "b")],
                                  "i int, a string, b string")
@@ -38,13 +38,17 @@ def test_nullable_lookups(spark, join, limits):
 
 
 @pytest.mark.parametrize("seconds", [1, 7, 60])
-@pytest.mark.parametrize("limits", [{}, {"hot_rows": 1, "small_input": 0}])
+@pytest.mark.parametrize("limits", [{}, {"hot_rows": 1}])
 def test_count_within_against_brute_force(spark, seconds, limits):
     rng = random.Random(seconds)
     # User 0 holds most of both sides.
-    left = [(i, 0 if rng.random() < 0.6 else rng.randrange(4), rng.randrange(-50, 300)) for i in range(150)]
-    right = [(0 if rng.random() < 0.6 else rng.randrange(4), rng.randrange(-50, 300)) for _ in range(250)] + [(None, 5)]
-    want = {i: sum(u2 == u and t - seconds <= t2 <= t for u2, t2 in right) for i, u, t in left}
+    def moment():
+        return rng.randrange(-200, 1200) * 250_000 + rng.choice([0, 0, -1, 1])
+
+    left = [(i, 0 if rng.random() < 0.6 else rng.randrange(4), moment()) for i in range(150)]
+    right = [(0 if rng.random() < 0.6 else rng.randrange(4), moment()) for _ in range(250)] + [(None, 5)]
+    width = seconds * 1_000_000
+    want = {i: sum(u2 == u and t - width <= t2 <= t for u2, t2 in right) for i, u, t in left}
     got = intervals.count_within(
         spark.createDataFrame(left, "i int, u int, at bigint"), spark.createDataFrame(right, "u int, at2 bigint"),
         ["u"], "at", "at2", seconds, ["i"], **limits)
@@ -176,7 +180,7 @@ def test_hot_keys_are_split_and_the_join_is_the_same(spark, null_safe):
     left = spark.range(0, 30_000, 1, 8).select(
         F.expr("CASE WHEN id % 3 = 0 THEN 7 WHEN id % 10 = 1 THEN NULL ELSE id % 500 END").cast("bigint").alias("k"), "id")
     right = spark.range(400).select(F.expr("nullif(id, 399)").alias("k2"), (F.col("id") * 3).alias("v"))
-    hot = skew.find(left, {"k": ["k"]}, hot_rows=500, small_input=0)["k"]
+    hot = skew.find(left, {"k": ["k"]}, hot_rows=500)["k"]
     assert len(hot.pieces) == 2 and max(hot.pieces.values()) == 21
     plain = skew.left_join(left, right, [("k", "k2")], skew.HotKeys({}), ["id"], null_safe)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
@@ -205,5 +209,21 @@ def test_late_feedback_counts_each_type_in_its_own_hour(spark):
     assert found == {"same_hour_rows": 2, "late_n_plus_1_rows": 1}
 
 
-def test_small_inputs_are_not_searched(spark):
-    assert skew.find(spark.range(100), {"k": ["id"]}, hot_rows=1)["k"].pieces == {}
+def test_the_last_merge_reads_a_fixed_number_of_sketches(spark):
+    many = spark.range(0, 3000, 1, 300).withColumn("k", F.col("id") % 3)
+    assert skew.group_sketches(many, {"k": ["k"]}).count() == skew.GROUPS
+    assert len(skew.find(many, {"k": ["k"]}, hot_rows=500)["k"].pieces) == 3
+    assert skew.find(many, {"k": ["k"]}, hot_rows=1001)["k"].pieces == {}
+    assert skew.find(many.limit(0), {"k": ["k"]})["k"].pieces == {}
+
+
+def test_latest_within_against_brute_force(spark):
+    rng = random.Random(8)
+    left = [(i, rng.randrange(3), rng.randrange(0, 40_000_000, 500_000)) for i in range(120)]
+    right = [(rng.randrange(3), rng.randrange(0, 40_000_000, 500_000), rng.randrange(5)) for _ in range(60)] + [(None, 1, 1)]
+    want = {i: max(((t2, v) for u2, t2, v in right if u2 == u and t - 2_000_000 <= t2 <= t), default=(None, None))
+            for i, u, t in left}
+    got = intervals.latest_within(
+        spark.createDataFrame(left, "i int, u int, at bigint"), spark.createDataFrame(right, "u int, at2 bigint, v int"),
+        ["u"], "at", "at2", 2, ["i"])
+    assert {r["i"]: (r["at2"], r["v"]) for r in got.collect()} == want
