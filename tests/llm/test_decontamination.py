@@ -31,7 +31,7 @@ def test_copies_and_changed_values(docs_of, bench):
     ])
     got = table(docs, bench([(10, ITEM)]))
     assert [(r[0], r[1], r[4]) for r in got if r[0] < 4] == [(1, 10, True), (2, 10, False)]
-    assert all(r[2] == 1.0 for r in got if r[0] < 3) and not {4, 3, 6} & {r[0] for r in got}
+    assert all(r[2] > 0.9 for r in got if r[0] < 3) and not {4, 3, 6} & {r[0] for r in got}
 
 
 def test_placeholders():
