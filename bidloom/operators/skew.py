@@ -60,11 +60,13 @@ def find(df: DataFrame, key_sets: Mapping[str, Sequence[str]], hot_rows: int = H
     is shuffled, and only keys over `hot_rows` come to the driver. Missing a key, or listing one too many, changes the
     spread of work and never the result.
     """
-    merged = group_sketches(df, key_sets).agg(
+    # Grouped by a constant: an input without rows has no sketch to combine, and gives no row.
+    merged = group_sketches(df, key_sets).groupBy(F.lit(0).alias("_all")).agg(
         *[F.expr(f"filter(approx_top_k_estimate(approx_top_k_combine({name}, {TRACKED}), {TRACKED}), "
                  f"k -> k.count > {hot_rows})").alias(name) for name in key_sets])
     row = merged.first()
-    return {name: HotKeys({r["item"]: -(-r["count"] // hot_rows) for r in row[name] or []}) for name in key_sets}
+    found = {name: [] if row is None else row[name] or [] for name in key_sets}
+    return {name: HotKeys({r["item"]: -(-r["count"] // hot_rows) for r in keys}) for name, keys in found.items()}
 
 
 def left_join(
