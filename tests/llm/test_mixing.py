@@ -36,7 +36,8 @@ def test_targets_and_words(docs_of):
     want = targets(sizes)
     for s in sizes:
         assert told[s][1] == sizes[s] and told[s][0] == pytest.approx(want[s])
-        assert abs(taken[s] - want[s]) <= 2
+        # Short by less than the smallest document that is left in the last block.
+        assert abs(taken[s] - want[s]) <= 0.002 * want[s]
 
 
 def test_reruns_and_partitions_agree(docs_of):
