@@ -2,7 +2,9 @@
 
 Numbers, names and units become typed placeholders, so a question that was asked anew with other values keeps its
 windows of canonical words. Windows are joined by hash, and a match counts only if its slots are consistent: within a
-passage, equal values of the benchmark item must have become equal values, and different ones different values.
+passage, equal values of the benchmark item must have become equal values, and different ones different values. Since
+capitals alone tell names, windows in which names are plain words without case are joined as well, so a copy in capitals
+or in small letters is found.
 """
 
 from __future__ import annotations
@@ -59,20 +61,31 @@ def canonical(found: Words, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _windows(found: Words, lengths: Sequence[int], units: np.ndarray) -> Iterator[tuple]:
-    """For each length: hashes, first positions, slots and documents of the windows that are mostly literal words."""
+    """For each length: hashes, first positions, slots and documents of the windows that are mostly literal words.
+
+    Windows with names come twice: names are placeholders, or words whose letter case does not matter. Equal hashes
+    mean the same reading, so both share one index.
+    """
     code, slots = canonical(found, units)
-    literal = np.concatenate(([0], np.cumsum(slots == 0)))
+    name = code == NAME
+    names = np.concatenate(([0], np.cumsum(name)))
+    readings = [(code, slots, False), (np.where(name, found.code, code), np.where(name, np.uint64(0), slots), True)]
     start_of = np.flatnonzero(np.concatenate(([True], found.doc[1:] != found.doc[:-1]))) if len(code) else np.zeros(0, int)
     position = np.arange(len(code)) - np.repeat(start_of, np.diff(np.concatenate((start_of, [len(code)]))))
     for length in lengths:
         n = len(code) - length + 1
         if n <= 0:
             continue
-        hashes = np.full(n, length, np.uint64)
-        for j in range(length):
-            hashes = hashes * np.uint64(0xD1342543DE82EF95) + code[j:j + n]
-        fits = (found.doc[length - 1:] == found.doc[:n]) & (2 * (literal[length:] - literal[:n]) >= length)
-        yield mixed(hashes), position[:n], slots, found.doc[:n], np.flatnonzero(fits), length
+        inside = found.doc[length - 1:] == found.doc[:n]
+        for codes, values, named_only in readings:
+            literal = np.concatenate(([0], np.cumsum(values == 0)))
+            fits = inside & (2 * (literal[length:] - literal[:n]) >= length)
+            if named_only:
+                fits &= names[length:] > names[:n]
+            hashes = np.full(n, length, np.uint64)
+            for j in range(length):
+                hashes = hashes * np.uint64(0xD1342543DE82EF95) + codes[j:j + n]
+            yield mixed(hashes), position[:n], values, found.doc[:n], np.flatnonzero(fits), length
 
 
 def _slot_rows(slots: np.ndarray, at: np.ndarray, length: int) -> list[list[int]]:

@@ -34,6 +34,17 @@ def test_copies_and_changed_values(docs_of, bench):
     assert all(r[2] > 0.9 for r in got if r[0] < 3) and not {4, 3, 6} & {r[0] for r in got}
 
 
+def test_letter_case_does_not_matter(docs_of, bench):
+    fill = "the weather stays fine over the whole valley and nobody minds "
+    docs = docs_of([(5, ITEM.upper()), (6, fill + ITEM.lower()), (7, fill + ITEM.title()), (8, "Blue Paint Dries Fast"),
+                    (9, ITEM.upper().replace("120", "77")), (10, fill.upper() * 3)])
+    got = table(docs, bench([(10, ITEM), (11, "blue paint dries fast")]))
+    assert [(r[0], r[1], r[4]) for r in sorted(got)] == [
+        (5, 10, True), (6, 10, True), (7, 10, True), (8, 11, True), (9, 10, False)]
+    assert all(r[2] == 1 for r in got)
+    assert [r[:2] for r in table(docs_of([(1, ITEM)]), bench([(10, ITEM.upper())]))] == [(1, 10)]
+
+
 def test_placeholders():
     found = next(words(["He paid 1,200.50 dollars to Anna. Then Bob left 3 times"]))
     code, slots = d.canonical(found, d._unit_codes())
