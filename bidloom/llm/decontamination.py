@@ -4,7 +4,7 @@ Numbers, names and units become typed placeholders, so a question that was asked
 windows of canonical words. Windows are joined by hash, and a match counts only if its slots are consistent: within a
 passage, equal values of the benchmark item must have become equal values, and different ones different values. Since
 capitals alone tell names, windows in which names are plain words without case are joined as well, so a copy in capitals
-or in small letters is found.
+or in small letters is found. Windows that are mostly placeholders match only word for word.
 """
 
 from __future__ import annotations
@@ -61,15 +61,18 @@ def canonical(found: Words, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _windows(found: Words, lengths: Sequence[int], units: np.ndarray) -> Iterator[tuple]:
-    """For each length: hashes, first positions, slots and documents of the windows that are mostly literal words.
+    """For each length: hashes, first positions, slots and documents of all windows, in up to two readings of each.
 
-    Windows with names come twice: names are placeholders, or words whose letter case does not matter. Equal hashes
-    mean the same reading, so both share one index.
+    Windows with names come twice: names are placeholders, or words whose letter case does not matter. A reading of
+    which over half the words are placeholders says too little: with the numbers and units alone so many, the window is
+    read as plain words; with the names, only the reading without them is left. Equal hashes mean the same reading, so
+    all share one index.
     """
     code, slots = canonical(found, units)
     name = code == NAME
-    names = np.concatenate(([0], np.cumsum(name)))
-    readings = [(code, slots, False), (np.where(name, found.code, code), np.where(name, np.uint64(0), slots), True)]
+    folded, values = np.where(name, found.code, code), np.where(name, np.uint64(0), slots)
+    plain = np.where(found.number, found.code, np.uint64(0))
+    sums = [np.concatenate(([0], np.cumsum(kind))) for kind in (name, slots != 0, values != 0)]
     start_of = np.flatnonzero(np.concatenate(([True], found.doc[1:] != found.doc[:-1]))) if len(code) else np.zeros(0, int)
     position = np.arange(len(code)) - np.repeat(start_of, np.diff(np.concatenate((start_of, [len(code)]))))
     for length in lengths:
@@ -77,15 +80,14 @@ def _windows(found: Words, lengths: Sequence[int], units: np.ndarray) -> Iterato
         if n <= 0:
             continue
         inside = found.doc[length - 1:] == found.doc[:n]
-        for codes, values, named_only in readings:
-            literal = np.concatenate(([0], np.cumsum(values == 0)))
-            fits = inside & (2 * (literal[length:] - literal[:n]) >= length)
-            if named_only:
-                fits &= names[length:] > names[:n]
+        names, placed, numeric = (total[length:] - total[:n] for total in sums)
+        readings = ((code, slots, 2 * placed <= length), (folded, values, (names > 0) & (2 * numeric <= length)),
+                    (found.code, plain, 2 * numeric > length))
+        for codes, own, fits in readings:
             hashes = np.full(n, length, np.uint64)
             for j in range(length):
                 hashes = hashes * np.uint64(0xD1342543DE82EF95) + codes[j:j + n]
-            yield mixed(hashes), position[:n], values, found.doc[:n], np.flatnonzero(fits), length
+            yield mixed(hashes), position[:n], own, found.doc[:n], np.flatnonzero(inside & fits), length
 
 
 def _slot_rows(slots: np.ndarray, at: np.ndarray, length: int) -> list[list[int]]:

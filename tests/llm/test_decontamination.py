@@ -45,6 +45,19 @@ def test_letter_case_does_not_matter(docs_of, bench):
     assert [r[:2] for r in table(docs_of([(1, ITEM)]), bench([(10, ITEM.upper())]))] == [(1, 10)]
 
 
+def test_windows_of_placeholders(docs_of, bench):
+    fill = "the weather stays fine over the whole valley and nobody minds "
+    sums, table_of = "What is 3 + 4 * 12 - 7", "12 kg 7.5 31 cm 4 9 1,200 18 65 23 km 8 44"
+    title = "Of Mice And Men And Other Famous American Novels From Depression Years"
+    items = bench([(1, sums), (2, table_of), (3, title), (4, title.upper() + " 3 4")])
+    docs = docs_of([(1, fill + sums + " " + fill), (2, fill + table_of), (3, fill + title), (4, title.upper() + " 3 4"),
+                    # Other values in such a window make it another text.
+                    (5, sums.replace("4", "5")), (6, " ".join(str(n) for n in range(500, 900))), (7, " ".join(reversed(title.split())))])
+    got = table(docs, items)
+    assert {r[:2] for r in got} == {(1, 1), (2, 2), (3, 3), (3, 4), (4, 3), (4, 4)}
+    assert all(r[2] == 1 and r[4] for r in got if r[0] == r[1])
+
+
 def test_placeholders():
     found = next(words(["He paid 1,200.50 dollars to Anna. Then Bob left 3 times"]))
     code, slots = d.canonical(found, d._unit_codes())
