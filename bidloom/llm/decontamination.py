@@ -2,7 +2,9 @@
 
 Numbers, names and units become typed placeholders, so a question that was asked anew with other values keeps its
 windows of canonical words. Windows are joined by hash, and a match counts only if its slots are consistent: within a
-passage, equal values of the benchmark item must have become equal values, and different ones different values. Since
+passage, equal values of the benchmark item must have become equal values, and different ones different values. Where
+two slots of a passage disagree, an unchanged value stands, and the place of the other is one word that is not covered;
+of changes that disagree the one in most places stands, and only the windows that hold another are left out. Since
 capitals alone tell names, windows in which names are plain words without case are joined as well, so a copy in capitals
 or in small letters is found. Windows that are mostly placeholders match only word for word.
 """
@@ -16,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bidloom.llm.common import fresh
+from bidloom.llm.common import bound_to, fresh
 from bidloom.llm.tokens import Words, mixed, words
 from bidloom.session import materialize
 
@@ -131,16 +133,39 @@ def _bitmap(index: DataFrame) -> np.ndarray:
     return out
 
 
-def _covered(starts: Column, width: Column) -> Column:
-    zero = F.struct(F.lit(0).alias("end"), F.lit(0).alias("total"))
-    return F.aggregate(starts, zero, lambda s, p: F.struct(
-        (p + width).alias("end"), (s["total"] + p + width - F.greatest(p, s["end"])).alias("total")))["total"]
+def _values_of(slots: Column) -> Column:
+    """Slots (place, item_slots, slots) without their places."""
+    return F.transform(slots, lambda s: F.struct(s["item_slots"].alias("item_slots"), s["slots"].alias("slots")))
+
+
+def _disagreeing(slots: Column) -> Column:
+    """The changes of a run that do not stand, where equal values became different ones or different ones equal:
+    `edits` disagree with an unchanged value, `wrong` with another change in as many places."""
+    def opposed(x: Column, others: Column, least: bool) -> Column:
+        return F.exists(others, lambda o: ((o["item_slots"] == x["item_slots"]) != (o["slots"] == x["slots"])) & (
+            o["n"] >= x["n"] if least else F.lit(True)))
+
+    def judged(values: Column) -> Column:
+        same = F.filter(values, lambda v: v["item_slots"] == v["slots"])
+        changed = F.filter(values, lambda v: v["item_slots"] != v["slots"])
+        edits = F.filter(changed, lambda x: opposed(x, same, False))
+        rest = F.transform(F.filter(changed, lambda x: ~opposed(x, same, False)), lambda v: F.struct(
+            v["item_slots"].alias("item_slots"), v["slots"].alias("slots"), F.size(F.filter(slots, lambda s: (
+                s["item_slots"] == v["item_slots"]) & (s["slots"] == v["slots"]))).alias("n")))
+        wrong = bound_to(rest, lambda all_: _values_of(F.filter(all_, lambda x: opposed(x, all_, True))))
+        distinct = lambda field: F.size(F.array_distinct(values[field]))
+        agree = (distinct("item_slots") == F.size(values)) & (distinct("slots") == F.size(values))
+        none = F.slice(values, 1, 0)
+        return F.when(agree, F.struct(none.alias("edits"), none.alias("wrong"))).otherwise(
+            F.struct(edits.alias("edits"), wrong.alias("wrong")))
+
+    return bound_to(F.array_distinct(_values_of(slots)), judged)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, keys: Sequence[str], coverage: float = COVERAGE,
           window: int = WINDOW) -> DataFrame:
     """One row per pair of a document (its `keys`) and a benchmark item that it contains: keys, item_id, coverage,
-    n_slots, verbatim (no slot has another value).
+    n_slots, verbatim (no slot has another value, in windows left out neither).
 
     Every window of every text is looked up. Null and empty texts match nothing; items of fewer than 3 words are not
     searched, items shorter than the window match as a whole. Repeated rows and items give one row for each pair of
@@ -166,21 +191,28 @@ def leaks(docs: DataFrame, benchmark: DataFrame, keys: Sequence[str], coverage:
     seen = plain.mapInPandas(_scan(list(names.values()), lengths, allowed), schema)
     side = F.broadcast(index) if index.count() <= BROADCAST_ROWS else index
     pairs = seen.join(side, (seen["hash"] == side["h"]) & (F.size(seen["slots"]) == F.size(side["item_slots"])), "inner")
-    zipped = F.arrays_zip("item_slots", "slots")
+    places = F.sequence(F.col("item_at"), F.col("item_at") + F.size("slots") - 1)
+    zipped = F.arrays_zip(places.alias("place"), F.col("item_slots"), F.col("slots"))
     changes = F.filter(zipped, lambda p: p["item_slots"] != 0)
     pairs = pairs.withColumn("changes", changes)
     run = [*names.values(), "item", "words", (F.col("at") - F.col("item_at")).alias("shift"),
            F.size("slots").alias("width")]
-    # A run has at most one row per window of its item, so what is gathered is bounded by the item.
-    runs = pairs.groupBy(*run).agg(F.collect_set("item_at").alias("starts"),
+    # A run has at most two rows per window of its item, so what is gathered is bounded by the item.
+    runs = pairs.groupBy(*run).agg(F.collect_set(F.struct("item_at", "changes")).alias("windows"),
                                    F.array_distinct(F.flatten(F.collect_set("changes"))).alias("slots"))
-    distinct = lambda field: F.size(F.array_distinct(F.transform("slots", lambda s: s[field])))
-    runs = runs.filter((distinct("item_slots") == F.size("slots")) & (distinct("slots") == F.size("slots")))
+    runs = runs.withColumn("judged", _disagreeing(F.col("slots")))
+    among = lambda field, c: F.exists(F.col("judged")[field], lambda x: (
+        x["item_slots"] == c["item_slots"]) & (x["slots"] == c["slots"]))
+    right = F.filter("windows", lambda w: ~F.exists(w["changes"], lambda c: among("wrong", c)))
+    runs = runs.withColumn("windows", right).filter(F.size("windows") > 0)
+    edited = F.transform(F.filter("slots", lambda s: among("edits", s)), lambda s: s["place"])
+    spans = F.flatten(F.transform("windows", lambda w: F.sequence(w["item_at"], w["item_at"] + F.col("width") - 1)))
     changed = F.exists("slots", lambda s: s["item_slots"] != s["slots"])
-    by_item = runs.groupBy(*names.values(), "item", "words", "width").agg(
-        F.sort_array(F.array_distinct(F.flatten(F.collect_set("starts")))).alias("starts"),
-        F.max(F.size("slots")).alias("n_slots"), (~F.max(changed)).alias("verbatim"))
-    by_item = by_item.withColumn("coverage", _covered(F.col("starts"), F.col("width")) / F.col("words"))
+    counted = F.array_distinct(F.flatten(F.transform("windows", lambda w: _values_of(w["changes"]))))
+    by_item = runs.groupBy(*names.values(), "item", "words").agg(
+        F.array_distinct(F.flatten(F.collect_set(F.array_except(spans, edited)))).alias("covered"),
+        F.max(F.size(counted)).alias("n_slots"), (~F.max(changed)).alias("verbatim"))
+    by_item = by_item.withColumn("coverage", F.size("covered") / F.col("words"))
     kept = by_item.filter(F.col("coverage") >= coverage)
     return kept.select(*[F.col(n).cast(types[k]).alias(k) for k, n in names.items()],
                        F.col("item").cast(dict(benchmark.dtypes)["item_id"]).alias("item_id"),

@@ -58,6 +58,22 @@ def test_windows_of_placeholders(docs_of, bench):
     assert all(r[2] == 1 and r[4] for r in got if r[0] == r[1])
 
 
+def test_one_of_two_equal_values_changed(docs_of, bench):
+    item = ("Every one of the 5 boxes weighs the same as a full crate and the driver loads them all before noon so that "
+            "Anna can count 5 labels while Anna waits at the gate with Anna")
+    fill = "the weather stays fine over the whole valley and nobody minds "
+    docs = docs_of([(1, item.replace("5 labels", "6 labels")), (2, fill + item.replace("5 boxes", "6 boxes")),
+                    # A change in most places stands against another in one.
+                    (3, item.replace("Anna", "Maria", 2).replace("with Anna", "with Marie")),
+                    (4, "Every one of the 5 boxes weighs nothing. Anna can count 6 labels while Bob waits at the gate")])
+    short = "If 5 apples cost 5 dollars how much is one apple"
+    docs = docs.unionByName(docs_of([(5, short.replace("cost 5", "cost 6"))]))
+    got = sorted(table(docs, bench([(1, item), (2, short)])))
+    assert [(r[0], r[1], r[4]) for r in got] == [(1, 1, False), (2, 1, False), (3, 1, False), (5, 2, False)]
+    n = len(item.split())
+    assert [r[2] for r in got] == pytest.approx([1 - 1 / n, 1 - 1 / n, 1 - 1 / n, 10 / 11])
+
+
 def test_placeholders():
     found = next(words(["He paid 1,200.50 dollars to Anna. Then Bob left 3 times"]))
     code, slots = d.canonical(found, d._unit_codes())
