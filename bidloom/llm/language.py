@@ -125,7 +125,8 @@ def training_sets(docs: DataFrame, documents: int = DOCUMENTS) -> tuple[list[str
     piece of each length of PIECES out of each."""
     rank = F.xxhash64(F.lit("language"), "text")
     slim = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", rank.alias("rank"), "text")
-    counts = slim.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()
+    # Copies share a hash, so hashes are counted, not rows. The share has room for far more than the sketch's 2%.
+    counts = slim.groupBy("lang").agg(F.approx_count_distinct("rank", 0.02).alias("n")).collect()
     if not counts:
         return [], []
     # A share of each language's hashes that holds about twice the wanted number; then exactly the smallest ones.

@@ -1,3 +1,5 @@
+from collections import Counter
+
 import numpy as np
 import pytest
 
@@ -67,6 +69,15 @@ def test_one_language_and_many_copies(docs_of):
     assert {r.lang_pred for r in lang.language_table(docs_of(rows[:20])).collect()} == {"en"}
 
 
+def test_a_language_that_is_mostly_copies(docs_of):
+    copies = [(i, SAMPLES["en"], "en", "s") for i in range(40_000)]
+    others = [(50_000 + i, f"{SAMPLES[k]} {100 + i}", k, "s") for k in ("en", "de") for i in range(60)]
+    many = [(60_000 + i, f"{i} {SAMPLES['fr']}", "fr", "s") for i in range(3000)]
+    languages, sets = lang.training_sets(docs_of(copies + others + many))
+    # Of each text the whole and pieces of 30 and 80 code points.
+    assert Counter(languages) == {"en": 3 * 61, "de": 3 * 60, "fr": 3 * lang.DOCUMENTS} and len(sets) == len(languages)
+
+
 @pytest.mark.parametrize("text,letters", [("123 !", False), ("é", True), ("中", True), ("", False)])
 def test_letters(text, letters):
     assert lang.has_letter(text) == letters
