@@ -118,7 +118,7 @@ def _lengths(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for found in words(batch["text"]):
             numbers, counts = np.unique(found.doc, return_counts=True)
-            yield pd.DataFrame({"item": batch["item"].iloc[numbers].to_numpy(), "n": counts})
+            yield batch.iloc[numbers][["item", "version"]].reset_index(drop=True).assign(n=counts)
 
 
 def _bitmap(index: DataFrame) -> np.ndarray:
@@ -169,22 +169,25 @@ def leaks(docs: DataFrame, benchmark: DataFrame, keys: Sequence[str], coverage:
 
     Every window of every text is looked up. Null and empty texts match nothing; items of fewer than 3 words are not
     searched, items shorter than the window match as a whole. Repeated rows and items give one row for each pair of
-    different keys. Empty tables give no rows.
+    different keys; of several texts of one item_id the most covered one counts. Empty tables give no rows.
     """
     names = {k: f"k{i}" for i, k in enumerate(keys)}
     types = dict(docs.dtypes)
     # Keys travel as text: a number that may be null would become a double in Python.
     plain = docs.select(*[docs[k].cast("string").alias(n) for k, n in names.items()], docs["text"])
-    items = benchmark.select(benchmark["item_id"].cast("string").alias("item"), benchmark["text"])
-    counts = materialize(items.mapInPandas(_lengths, "item string, n int"), "leak_items")
+    # Different texts of one item_id are searched each by itself.
+    version = F.concat_ws("-", F.hex(F.xxhash64(benchmark["text"])), F.hex(F.xxhash64(F.lit("text"), benchmark["text"])))
+    items = benchmark.select(benchmark["item_id"].cast("string").alias("item"), version.alias("version"), benchmark["text"])
+    counts = materialize(items.mapInPandas(_lengths, "item string, version string, n int"), "leak_items")
     sizes = counts.select(F.least("n", F.lit(window)).alias("n")).filter(F.col("n") >= SHORTEST).distinct()
     lengths = sorted(r["n"] for r in sizes.collect())
-    index = items.mapInPandas(_scan(["item"], lengths, None), f"item string, {ROW}")
+    index = items.mapInPandas(_scan(["item", "version"], lengths, None), f"item string, version string, {ROW}")
     # A shorter length is for the items that are as short; the others are searched by whole windows.
-    least = counts.groupBy("item").agg(F.max("n").alias("words")).withColumnRenamed("item", "_item")
-    index = index.join(least, index["item"].eqNullSafe(least["_item"]), "inner").drop("_item")
+    least = counts.distinct().withColumnsRenamed({"item": "_item", "version": "_version", "n": "words"})
+    same = index["item"].eqNullSafe(least["_item"]) & (index["version"] == least["_version"])
+    index = index.join(least, same, "inner").drop("_item", "_version")
     index = index.filter(F.size("slots") == F.least("words", F.lit(window)))
-    index = materialize(index.select("item", "words", F.col("hash").alias("h"), F.col("at").alias("item_at"),
+    index = materialize(index.select("item", "version", "words", F.col("hash").alias("h"), F.col("at").alias("item_at"),
                                      F.col("slots").alias("item_slots")).distinct(), "leak_index")
     allowed = _bitmap(index.select(F.col("h").alias("hash")))
     schema = ", ".join(f"{n} string" for n in names.values()) + f", {ROW}"
@@ -195,7 +198,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, keys: Sequence[str], coverage:
     zipped = F.arrays_zip(places.alias("place"), F.col("item_slots"), F.col("slots"))
     changes = F.filter(zipped, lambda p: p["item_slots"] != 0)
     pairs = pairs.withColumn("changes", changes)
-    run = [*names.values(), "item", "words", (F.col("at") - F.col("item_at")).alias("shift"),
+    run = [*names.values(), "item", "version", "words", (F.col("at") - F.col("item_at")).alias("shift"),
            F.size("slots").alias("width")]
     # A run has at most two rows per window of its item, so what is gathered is bounded by the item.
     runs = pairs.groupBy(*run).agg(F.collect_set(F.struct("item_at", "changes")).alias("windows"),
@@ -209,11 +212,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, keys: Sequence[str], coverage:
     spans = F.flatten(F.transform("windows", lambda w: F.sequence(w["item_at"], w["item_at"] + F.col("width") - 1)))
     changed = F.exists("slots", lambda s: s["item_slots"] != s["slots"])
     counted = F.array_distinct(F.flatten(F.transform("windows", lambda w: _values_of(w["changes"]))))
-    by_item = runs.groupBy(*names.values(), "item", "words").agg(
+    by_item = runs.groupBy(*names.values(), "item", "version", "words").agg(
         F.array_distinct(F.flatten(F.collect_set(F.array_except(spans, edited)))).alias("covered"),
         F.max(F.size(counted)).alias("n_slots"), (~F.max(changed)).alias("verbatim"))
     by_item = by_item.withColumn("coverage", F.size("covered") / F.col("words"))
-    kept = by_item.filter(F.col("coverage") >= coverage)
+    kept = by_item.filter(F.col("coverage") >= coverage).groupBy(*names.values(), "item").agg(
+        F.max(F.struct("coverage", "n_slots", "verbatim")).alias("best")).select(*names.values(), "item", "best.*")
     return kept.select(*[F.col(n).cast(types[k]).alias(k) for k, n in names.items()],
                        F.col("item").cast(dict(benchmark.dtypes)["item_id"]).alias("item_id"),
                        "coverage", F.col("n_slots").cast("bigint").alias("n_slots"), "verbatim")

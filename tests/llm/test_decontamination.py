@@ -74,6 +74,15 @@ def test_one_of_two_equal_values_changed(docs_of, bench):
     assert [r[2] for r in got] == pytest.approx([1 - 1 / n, 1 - 1 / n, 1 - 1 / n, 10 / 11])
 
 
+def test_different_texts_of_one_item(docs_of, bench):
+    long = " ".join(f"long{i}" for i in range(60)).translate(str.maketrans("0123456789", "abcdefghij"))
+    items = bench([(1, ITEM), (1, long), (1, "blue paint dries fast"), (None, ITEM.replace("train", "bus")), (None, long)])
+    docs = docs_of([(1, ITEM), (2, "Blue paint dries fast"), (3, long), (4, ITEM.replace("train", "bus")), (5, ITEM + " " + long)])
+    got = {r[:2]: r[2] for r in table(docs, items)}
+    assert {(1, 1), (2, 1), (3, 1), (3, None), (4, None), (5, 1), (5, None)} <= set(got) and set(got.values()) <= {1, 17 / 19}
+    assert len(got) == len(table(docs, items))
+
+
 def test_placeholders():
     found = next(words(["He paid 1,200.50 dollars to Anna. Then Bob left 3 times"]))
     code, slots = d.canonical(found, d._unit_codes())
