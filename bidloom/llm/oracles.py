@@ -5,21 +5,29 @@ from __future__ import annotations
 from bidloom.llm import licenses, secrets
 
 # The table of the half-byte CRC-32 is built from its polynomial; the text is folded nibble by nibble, low one first.
-RENDEZVOUS_SHARDS = """
-WITH RECURSIVE steps(i, bit, c) AS (
+_CRC_TABLE = """steps(i, bit, c) AS (
   SELECT range, 0, range FROM range(16)
   UNION ALL
   SELECT i, bit + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM steps WHERE bit < 4
-), crc_table AS (SELECT list(c ORDER BY i) AS entries FROM steps WHERE bit = 4),
+), crc_table AS (SELECT list(c ORDER BY i) AS entries FROM steps WHERE bit = 4)"""
+
+
+def _crc(text: str) -> str:
+    """CRC-32 of a text's UTF-8; `entries` is that of crc_table."""
+    return f"""xor(4294967295, list_reduce(
+    list_prepend(CAST(4294967295 AS BIGINT), list_transform(
+      CASE WHEN {text} = '' THEN [] ELSE string_split(regexp_replace(hex(encode({text})), '(.)(.)', '\\2\\1', 'g'), '') END,
+      lambda d: CAST('0x' || d AS BIGINT))),
+    lambda crc, n: xor(crc >> 4, entries[(xor(crc, n) & 15) + 1])))"""
+
+
+RENDEZVOUS_SHARDS = f"""
+WITH RECURSIVE {_CRC_TABLE},
 docs AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, coalesce(CAST(doc_id AS VARCHAR), 'null') AS key
   FROM documents
 ), crc AS (
-  SELECT r, xor(4294967295, list_reduce(
-    list_prepend(CAST(4294967295 AS BIGINT), list_transform(
-      CASE WHEN text = '' THEN [] ELSE string_split(regexp_replace(hex(encode(text)), '(.)(.)', '\\2\\1', 'g'), '') END,
-      lambda d: CAST('0x' || d AS BIGINT))),
-    lambda crc, n: xor(crc >> 4, entries[(xor(crc, n) & 15) + 1]))) AS text_crc32
+  SELECT r, {_crc('text')} AS text_crc32
   FROM docs, crc_table
 ), scores AS (
   SELECT r, shard, ln((CAST('0x' || substr(md5(key || '#' || shard), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0) AS score
@@ -218,3 +226,94 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
        sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM docs LEFT JOIN joined USING (r)
 """
+
+
+def _best(*states: str) -> str:
+    """The smallest (cost, edits); structs compare field by field."""
+    return f"list_min([{', '.join(states)}])"
+
+
+def _edit(state: str, cost: str, edit: str) -> str:
+    return f"{{'c': CAST({state}.c + {cost} AS BIGINT), 'a': {state}.a || '{edit}'}}"
+
+
+_STAY = "(CASE WHEN r.go THEN 1000000000 WHEN r.cut THEN 5 ELSE 0 END)"
+
+
+def _kept(state: str, role: str) -> str:
+    return _edit(state, f"{_STAY} + (CASE WHEN r.initial = '{role}' THEN 0 ELSE 1000000000 END)", "K")
+
+
+def _reroled(state: str) -> str:
+    return _edit(state, f"{_STAY} + 1", "R")
+
+
+# States of the grammar: v0 empty, v1 after s, v2 after u, v3 after a; a state that cannot be has a huge cost.
+_INSERTED = f"""
+  SELECT conv, i, v0, v1, v2, {_best("v3", _edit("v2", "5", "I"))} AS v3
+  FROM (SELECT conv, i, v0, v1, {_best("v2", _edit("v0", "5", "I"), _edit("v1", "5", "I"), _edit("v3", "5", "I"))} AS v2, v3
+        FROM (%s))"""
+_START = """SELECT conv, 0 AS i, {'c': CAST(0 AS BIGINT), 'a': ''} AS v0, {'c': CAST(1000000000 AS BIGINT), 'a': ''} AS v1,
+  {'c': CAST(1000000000 AS BIGINT), 'a': ''} AS v2, {'c': CAST(1000000000 AS BIGINT), 'a': ''} AS v3 FROM convs"""
+_STEP = f"""SELECT conv, i + 1 AS i, {_edit("v0", "2", "D")} AS v0,
+  {_best(_edit("v1", "2", "D"), _kept("v0", "s"))} AS v1,
+  {_best(_edit("v2", "2", "D"), *(_kept(v, "u") for v in ("v0", "v1", "v3")), *(map(_reroled, ("v0", "v1", "v3"))))} AS v2,
+  {_best(_edit("v3", "2", "D"), _kept("v2", "a"), _reroled("v2"))} AS v3
+  FROM (SELECT dp.*, g.rows[dp.i + 1] AS r FROM dp JOIN grouped g USING (conv) WHERE dp.i < g.n)"""
+
+REPAIR_CONVERSATIONS = f"""
+WITH RECURSIVE {_CRC_TABLE},
+given AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), 'null') AS conv,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key
+  FROM conversations
+), hit AS (SELECT given.*, {_crc('key')} % 20 AS kind FROM given, crc_table),
+convs AS (SELECT conv, any_value(conv_id) AS conv_id FROM given GROUP BY conv),
+copies AS (
+  SELECT conv, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM hit WHERE kind <> 0
+), numbered AS (
+  SELECT conv, turn, role, text, substr(role, 1, 1) AS initial,
+         row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, text) AS i,
+         regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS last
+  FROM copies
+), met AS (SELECT *, i > min(i) OVER (PARTITION BY conv, role, text) AS seen FROM numbered),
+faults AS (
+  SELECT *, last = '' AS blank, last <> '' AND seen AS dup, last NOT IN ('', '.', '!', '?') AND NOT seen AS cut,
+         lag(initial) OVER (PARTITION BY conv ORDER BY i) || initial AS pair
+  FROM met
+), grouped AS (
+  SELECT conv, count(*) AS n, list({{'initial': initial, 'go': blank OR dup, 'cut': cut}} ORDER BY i) AS rows,
+         coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+         count(*) FILTER (dup) AS dup, count(*) FILTER (cut) AS cut,
+         count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faults GROUP BY conv
+), dp AS (
+  {_INSERTED % _START}
+  UNION ALL
+  {_INSERTED % _STEP}
+), best AS (
+  SELECT dp.conv, {_best("v0", "v3")} AS b FROM dp LEFT JOIN grouped g USING (conv) WHERE dp.i = coalesce(g.n, 0)
+), edits AS (
+  SELECT conv, b.a AS audit, unnest(string_split(b.a, '')) AS e, unnest(range(1, length(b.a) + 1)) AS pos FROM best
+  WHERE b.a <> ''
+), placed AS (
+  SELECT conv, e, pos, count(*) FILTER (e <> 'I') OVER (PARTITION BY conv ORDER BY pos) AS i FROM edits
+), spoken AS (
+  SELECT p.conv, p.pos, p.e, f.initial, f.role, CASE WHEN p.e = 'I' THEN '' ELSE f.text END AS text,
+         count(*) FILTER (NOT (p.e = 'K' AND f.initial = 's')) OVER (PARTITION BY p.conv ORDER BY p.pos) AS speaker
+  FROM placed p LEFT JOIN faults f ON f.conv = p.conv AND f.i = p.i WHERE p.e <> 'D'
+), texts AS (
+  SELECT conv, string_agg(CASE WHEN e = 'K' THEN role WHEN speaker % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text,
+                          chr(10) ORDER BY pos) AS repaired
+  FROM spoken GROUP BY conv
+)
+SELECT c.conv_id, CAST(coalesce(g.gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(g.blank, 0) AS BIGINT) AS blank,
+       CAST(coalesce(g.dup, 0) AS BIGINT) AS duplicate, CAST(coalesce(g.cut, 0) AS BIGINT) AS truncated,
+       CAST(coalesce(g.illegal, 0) AS BIGINT) AS illegal, b.b.c AS cost, b.b.a AS audit,
+       sha256(coalesce(t.repaired, '')) AS repaired_sha256
+FROM convs c JOIN best b USING (conv) LEFT JOIN grouped g USING (conv) LEFT JOIN texts t USING (conv)
+"""

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from bidloom.llm import decontamination, language, licenses, mixing, quality, secrets, sharding, simhash, toxicity, warc
+from bidloom.llm import (
+    conversations, decontamination, language, licenses, mixing, quality, secrets, sharding, simhash, toxicity, warc,
+)
 from bidloom.llm import oracles as sql
 from bidloom.registry.base import Query, table
 
@@ -52,6 +54,10 @@ def op10_language(spark, sf_dir):
     return language.language_table(table(spark, sf_dir, "documents"))
 
 
+def op12_conversation_repair(spark, sf_dir):
+    return conversations.repair_table(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
     "op2_toxicity": op2_toxicity,
@@ -63,6 +69,7 @@ QUERIES: dict[str, Query] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_simhash_groups": op9_simhash_groups,
     "op10_language": op10_language,
+    "op12_conversation_repair": op12_conversation_repair,
 }
 ORACLES: dict[str, str] = {
     "op1_license_scan": sql.LICENSE_SCAN,
@@ -70,4 +77,5 @@ ORACLES: dict[str, str] = {
     "op5_warc_round_trip": sql.WARC_ROUND_TRIP,
     "op6_mix_sources": sql.MIX_SOURCES,
     "op8_secret_scan": sql.SECRET_SCAN,
+    "op12_conversation_repair": sql.REPAIR_CONVERSATIONS,
 }

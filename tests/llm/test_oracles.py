@@ -17,7 +17,7 @@ def normal(columns, rows):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_same_as_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "pages", "benchmark", "labels"):
+    for table in ("documents", "pages", "benchmark", "labels", "conversations"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     df = QUERIES[name](spark, SF_DIR)
     result = con.execute(ORACLES[name])
