@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from bidloom.llm import (
-    conversations, decontamination, language, licenses, mixing, quality, secrets, sharding, simhash, toxicity, warc,
+    conversations, decontamination, jaccard, language, licenses, mixing, quality, secrets, sharding, simhash, toxicity,
+    warc,
 )
 from bidloom.llm import oracles as sql
 from bidloom.registry.base import Query, table
@@ -58,6 +59,10 @@ def op12_conversation_repair(spark, sf_dir):
     return conversations.repair_table(table(spark, sf_dir, "conversations"))
 
 
+def op13_ngram_jaccard(spark, sf_dir):
+    return jaccard.component_table(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
     "op2_toxicity": op2_toxicity,
@@ -70,6 +75,7 @@ QUERIES: dict[str, Query] = {
     "op9_simhash_groups": op9_simhash_groups,
     "op10_language": op10_language,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_ngram_jaccard": op13_ngram_jaccard,
 }
 ORACLES: dict[str, str] = {
     "op1_license_scan": sql.LICENSE_SCAN,
