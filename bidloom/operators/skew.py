@@ -12,8 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bidloom.operators.joins import equal_on
-from bidloom.session import materialize
+from bidloom.operators.joins import BROADCAST_BYTES, broadcast_if_small, equal_on
 
 # Rows of one key that a task can take; a heavier key is split into pieces of about this size.
 HOT_ROWS = 1_000_000
@@ -40,11 +39,6 @@ class HotKeys:
         return number.otherwise(F.lit(1).cast("bigint"))
 
 
-def written_once(df: DataFrame) -> DataFrame:
-    """`df`, stored: the search and the join both read it."""
-    return materialize(df, "left")
-
-
 def group_sketches(df: DataFrame, key_sets: Mapping[str, Sequence[str]]) -> DataFrame:
     """At most GROUPS rows with a frequent-items sketch for each key set: the first level of the merge."""
     hashed = df.select(F.pmod(F.spark_partition_id(), F.lit(GROUPS)).alias("_group"),
@@ -93,3 +87,20 @@ def left_join(
     salted_right = right.withColumn("_piece_r", F.explode(every))
     on = equal_on(salted_left, salted_right, pairs, null_safe) & (F.col("_piece") == F.col("_piece_r"))
     return salted_left.join(salted_right, on, "left").drop("_piece", "_piece_r")
+
+
+def lookup(
+    left: DataFrame, dimension: DataFrame, keys: Sequence[str], hot: HotKeys | None, spread_by: Sequence[str],
+    limit: int = BROADCAST_BYTES, hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Left join to a dimension with one row per key: broadcast when it is measured small, else by shuffle with the
+    hot left keys spread. They are searched for in `left`, and only for a shuffle, unless they are given. The
+    dimension's key columns are dropped."""
+    side = broadcast_if_small(dimension, limit)
+    if side is not dimension:
+        return left.join(side, list(keys), "left")
+    if hot is None:
+        hot = find(left, {"key": keys}, hot_rows)["key"]
+    renamed = {k: f"_dim_{k}" for k in keys}
+    joined = left_join(left, dimension.withColumnsRenamed(renamed), list(renamed.items()), hot, spread_by)
+    return joined.drop(*renamed.values())

@@ -13,7 +13,7 @@ from bidloom.registry import roles
 from bidloom.registry.base import register, table
 from bidloom.registry.roles import (
     ADVERTISER, BIDS, CONTEXTUAL, ELIGIBLE, FEATURES, IMPRESSIONS, JOINED, METRICS, RAW_BIDS, RAW_IMPRESSIONS,
-    SETTINGS, SIB,
+    SETTINGS, SIB, sql_money,
 )
 from bidloom.session import work_folder
 
@@ -24,9 +24,9 @@ GROUP_BY = "advertiser_id, campaign_id, contextual_id, final_frequency_bracket,
 
 # --- revenue ----------------------------------------------------------------
 
-@register("daily_product_revenue", """
+@register("daily_product_revenue", f"""
 SELECT CAST(o_orderdate AS DATE) AS order_date, o_orderstatus AS order_status, l_partkey AS product_id,
-       CAST(round(sum(CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(28,8))), 2) AS DOUBLE) AS revenue
+       {sql_money('l_extendedprice * (1 - l_discount)')} AS revenue
 FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL ORDER BY order_date, revenue DESC
 """)
 def daily_product_revenue(spark, sf_dir):
@@ -147,6 +147,10 @@ BID_KEYS = "b.bid_request_id, b.advertiser_id, b.campaign_id, b.contextual_id, b
 BID_COLUMNS = ["bid_request_id", "advertiser_id", "campaign_id", "contextual_id", "bid_price"]
 
 
+def _dimension(bids, dimension, keys):
+    return skew.lookup(bids, dimension, keys, None, BID_COLUMNS)
+
+
 @register("left_enrich", f"""
 WITH {RAW_BIDS}, {IMPRESSIONS}, {CONTEXTUAL}
 SELECT {BID_KEYS}, i.impression_id, i.clearing_price, c.content_category
@@ -171,7 +175,7 @@ SELECT a.vertical, a.priority_tier, count(*) AS rows, count(DISTINCT b.bid_reque
 FROM raw_bids b LEFT JOIN advertiser a ON b.advertiser_id = a.advertiser_id GROUP BY ALL
 """)
 def broadcast_dim(spark, sf_dir):
-    rows = joins.lookup(roles.bids(spark, sf_dir), roles.advertiser(spark, sf_dir), ["advertiser_id"])
+    rows = _dimension(roles.bids(spark, sf_dir), roles.advertiser(spark, sf_dir), ["advertiser_id"])
     return rows.groupBy("vertical", "priority_tier").agg(
         F.count(F.lit(1)).alias("rows"), F.count_distinct("bid_request_id").alias("bids")
     )
@@ -184,7 +188,7 @@ LEFT JOIN settings s ON b.advertiser_id = s.advertiser_id AND b.campaign_id = s.
 """)
 def composite_key_join(spark, sf_dir):
     bids = roles.bids(spark, sf_dir).select(*BID_COLUMNS)
-    rows = joins.lookup(bids, roles.settings(spark, sf_dir), ["advertiser_id", "campaign_id"])
+    rows = _dimension(bids, roles.settings(spark, sf_dir), ["advertiser_id", "campaign_id"])
     return rows.select(*BID_COLUMNS, "koa_group", "bid_modifier", "policy_mode")
 
 
@@ -255,7 +259,7 @@ FROM bids b LEFT JOIN settings s ON b.advertiser_id = s.advertiser_id AND b.camp
 """)
 def post_join_pricing(spark, sf_dir):
     bids = enrichment.prepare_bids(roles.bids(spark, sf_dir))
-    rows = joins.lookup(bids, roles.settings(spark, sf_dir), ["advertiser_id", "campaign_id"])
+    rows = _dimension(bids, roles.settings(spark, sf_dir), ["advertiser_id", "campaign_id"])
     return rows.withColumns(s.priced("bid_price", "bid_modifier", "event_quality_score")).select(
         *BID_COLUMNS, "effective_bid_modifier", "adjusted_bid_price", "quality_weighted_price"
     )
@@ -277,7 +281,7 @@ MARKET_PAIRS = [("koa_group", "market_group"), ("policy_mode", "market_mode")]
 def _market(spark, sf_dir, join):
     """Bids looked up by two columns that are null together for most rows."""
     bids = roles.bids(spark, sf_dir).select(*BID_COLUMNS)
-    rows = joins.lookup(bids, roles.settings(spark, sf_dir), ["advertiser_id", "campaign_id"])
+    rows = _dimension(bids, roles.settings(spark, sf_dir), ["advertiser_id", "campaign_id"])
     markets = rows.groupBy(F.col("koa_group").alias("market_group"), F.col("policy_mode").alias("market_mode")).agg(
         F.count(F.lit(1)).alias("market_rows")
     )
@@ -365,10 +369,10 @@ def feature_latest(spark, sf_dir):
     return rows.select("o_orderkey", "o_custkey", "event_id", "event_type", "value")
 
 
-@register("feature_preagg", """
+@register("feature_preagg", f"""
 SELECT o_orderkey, o_custkey, events, total, types FROM orders LEFT JOIN (
   SELECT user_id, count(*) AS events, count(DISTINCT event_type) AS types,
-         CAST(round(sum(CAST(value AS DECIMAL(28,8))), 2) AS DOUBLE) AS total
+         {sql_money('value')} AS total
   FROM events GROUP BY user_id) ON o_custkey = user_id
 """)
 def feature_preagg(spark, sf_dir):

@@ -297,9 +297,21 @@ joined AS (
       ON b.user_id_hash = sb.user_id_hash))"""
 
 
+def sql_units(value: str) -> str:
+    """Units of the twelfth place, whole part and fraction apart."""
+    return (f"(CAST(trunc({value}) AS HUGEINT) * 1000000000000 "
+            f"+ CAST(floor(({value} - trunc({value})) * 1e12 + 0.5) AS HUGEINT))")
+
+
+def sql_money(value: str) -> str:
+    """Exact sum at twelve places, rounded once to two."""
+    total = f"sum({sql_units(f'({value})')})"
+    return f"CAST(sign({total}) * ((abs({total}) + 5000000000) // 10000000000) AS DOUBLE) / 100"
+
+
 def sql_mean(value: str) -> str:
     """Mean from an exact sum at twelve places."""
-    total = f"sum(CAST(floor({value} * 1e12 + 0.5) AS HUGEINT))"
+    total = f"sum({sql_units(value)})"
     return f"CAST({total} AS DOUBLE) / nullif(CAST(count({value}) AS DOUBLE) * 1e12, 0)"
 
 

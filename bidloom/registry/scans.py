@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from bidloom.functions import scalars as s
+from bidloom.functions.fixed_point import money_sum_sql
 from bidloom.operators import sketches
 from bidloom.plans import ingest, revenue
 from bidloom.registry import roles
@@ -305,9 +306,9 @@ def approx_keys(spark, sf_dir):
 
 # --- templated SQL ----------------------------------------------------------
 
-@register("daily_revenue_param", """
+@register("daily_revenue_param", f"""
 SELECT CAST(o_orderdate AS DATE) AS order_date, o_orderstatus AS order_status, l_partkey AS product_id,
-       CAST(round(sum(CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(28,8))), 2) AS DOUBLE) AS revenue
+       {roles.sql_money('l_extendedprice * (1 - l_discount)')} AS revenue
 FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL
 """)
 def daily_revenue_param(spark, sf_dir):
@@ -317,19 +318,18 @@ def daily_revenue_param(spark, sf_dir):
                 f"CREATE OR REPLACE TEMPORARY VIEW param_{name} USING PARQUET "
                 f"OPTIONS (path='${{data.dir}}/{name}.parquet')"
             )
-        return spark.sql("""
+        return spark.sql(f"""
             SELECT CAST(o.o_orderdate AS DATE) AS order_date, o.o_orderstatus AS order_status,
                    i.l_partkey AS product_id,
-                   CAST(round(sum(CAST(i.l_extendedprice * (1 - i.l_discount) AS DECIMAL(28,8))), 2) AS DOUBLE)
-                     AS revenue
+                   {money_sum_sql('i.l_extendedprice * (1 - i.l_discount)')} AS revenue
             FROM param_orders o JOIN param_lineitem i ON o.o_orderkey = i.l_orderkey
             GROUP BY ALL ORDER BY order_date, revenue DESC, order_status, product_id
         """)
 
 
-@register("revenue_script", """
+@register("revenue_script", f"""
 SELECT strftime(o_orderdate, '%Y-%m-%d') AS day, o_orderstatus AS status, l_partkey AS product,
-       CAST(round(sum(CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(28,8))), 2) AS DOUBLE) AS revenue
+       {roles.sql_money('l_extendedprice * (1 - l_discount)')} AS revenue
 FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL
 """)
 def revenue_script(spark, sf_dir):
@@ -341,8 +341,8 @@ def revenue_script(spark, sf_dir):
     table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product"),
         (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("subtotal")).write.json(f"{landing}/order_items")
-    revenue.script_from_json(spark, """
-        SELECT day, status, product, CAST(round(sum(CAST(subtotal AS DECIMAL(28,8))), 2) AS DOUBLE) AS revenue
+    revenue.script_from_json(spark, f"""
+        SELECT day, status, product, {money_sum_sql('subtotal')} AS revenue
         FROM order_items JOIN orders ON id = order_id GROUP BY day, status, product
     """, {"retail.in": landing, "retail.out": out})
     return spark.read.schema("day string, status string, product bigint, revenue double").json(out)

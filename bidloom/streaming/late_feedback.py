@@ -39,6 +39,42 @@ def join_feedback(bids: DataFrame, feedback: DataFrame, bound: str = "2 hours")
     return left.join(right, near, "leftOuter").drop("feedback_bid_id")
 
 
+FEEDBACK = ("feedback_timestamp", "impression_id", "clearing_price", "feedback_type")
+
+
+def latest_feedback(bids: DataFrame, feedback: DataFrame, bound: str, delay: str = "1 hour") -> DataFrame:
+    """Each bid with its latest feedback within the bound, or with nulls where there is none: the batch job's survivor.
+
+    Two stateful operators in append mode. A watermarked outer join finds the feedback of each bid; it emits a bid
+    without any once its bound has passed. An aggregate by bid and its time then elects the latest one, ties broken by
+    all other columns; a bid is emitted when no join can add to it any more. State is dropped by the watermark. Over batch inputs the same plan gives the same rows. A bid_request_id that is null has no
+    feedback; of bids with one id and one time there is one row; a bid without a time is dropped, as it never ends.
+    `run_available` emits what is final; `closing_rows` on both inputs, and another run, emit the rest.
+    """
+    left = bids.select("bid_request_id", "bid_timestamp").withWatermark("bid_timestamp", delay)
+    right = feedback.select(F.col("bid_request_id").alias("feedback_bid_id"), *FEEDBACK).withWatermark(
+        "feedback_timestamp", delay)
+    near = (
+        (F.col("bid_request_id") == F.col("feedback_bid_id"))
+        & (F.col("feedback_timestamp") >= F.col("bid_timestamp"))
+        & (F.col("feedback_timestamp") <= F.col("bid_timestamp") + F.expr(f"INTERVAL {bound}"))
+    )
+    # Not a bid without feedback but a struct of nulls: max() over it is that struct again.
+    elected = F.max(F.struct(*FEEDBACK)).alias("_latest")
+    joined = left.join(right, near, "leftOuter")
+    return joined.groupBy("bid_request_id", "bid_timestamp").agg(elected).select("bid_request_id", "bid_timestamp", "_latest.*")
+
+
+def closing_rows(like: DataFrame, time: str, at: str, key: str, value) -> DataFrame:
+    """One row with a time so far ahead that the watermark passes all others, and nulls besides.
+
+    `value` is a key that no row has; a null would be filtered before the watermark sees the row.
+    """
+    row, fixed = like.sparkSession.range(1), {time: at, key: value}
+    values = {f.name: F.lit(fixed.get(f.name)).cast(f.dataType) for f in like.schema.fields}
+    return row.select(*[value.alias(name) for name, value in values.items()])
+
+
 def run_available(stream: DataFrame, target: str, checkpoint: str) -> None:
     """Process what has arrived, append it as Parquet, stop."""
     query = (

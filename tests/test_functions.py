@@ -1,7 +1,9 @@
 import datetime as dt
 import hashlib
 import uuid
+from fractions import Fraction
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -76,3 +78,28 @@ def test_sums_keep_every_place(spark):
     df = spark.createDataFrame([(0.00004999,)] * 1000 + [(0.0000000001,)], "v double")
     r = df.agg(fixed_point.money_sum(F.col("v")).alias("s"), fixed_point.mean(F.col("v")).alias("m")).first()
     assert r["s"] == 0.05 and abs(r["m"] - (0.04999 + 1e-10) / 1001) < 1e-17
+
+
+@pytest.mark.parametrize("values, weights", [
+    ([2e7, 2e7], [1, 1]), ([1e8, 3.0], [1, 1]), ([-5e7], [2]), ([1e12 + 0.5, -0.25, None], [3, 1, 4]), ([4e-9] * 7, [9] * 7),
+])
+def test_means_and_sums_are_exact_at_any_size(spark, values, weights):
+    df = spark.createDataFrame(list(zip(values, weights)), "v double, w bigint")
+    kept = [(Fraction(v), w) for v, w in zip(values, weights) if v is not None]
+    total = sum(v * w for v, w in kept)
+    r = df.agg(fixed_point.mean(F.col("v"), F.col("w")).alias("m"), fixed_point.money_sum(F.col("v") * F.col("w")).alias("s"),
+               fixed_point.money_sum(F.col("v") * F.col("w"), 9).alias("s9"),
+               F.expr(fixed_point.money_sum_sql("v * w", 9)).alias("q9")).first()
+    assert r["m"] == pytest.approx(float(total / sum(w for _, w in kept)), rel=1e-15)
+    assert r["s"] == float(round(total, 2)) and r["s9"] == r["q9"] == float(round(total, 9))
+
+
+def test_a_million_small_rows(spark):
+    df = spark.range(1_000_000).select(F.lit(4e-9).alias("v"))
+    assert df.agg(fixed_point.money_sum(F.col("v"), 3)).first()[0] == 0.004
+
+
+@pytest.mark.parametrize("value", [1e19, float("nan"), float("-inf")])
+def test_values_without_an_exact_sum_raise(spark, value):
+    with pytest.raises(Exception, match="exact sum"):
+        spark.createDataFrame([(value,)], "v double").agg(fixed_point.mean(F.col("v"))).collect()
