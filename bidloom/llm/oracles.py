@@ -317,3 +317,38 @@ SELECT c.conv_id, CAST(coalesce(g.gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(g.b
        sha256(coalesce(t.repaired, '')) AS repaired_sha256
 FROM convs c JOIN best b USING (conv) LEFT JOIN grouped g USING (conv) LEFT JOIN texts t USING (conv)
 """
+
+SPELLING_VARIANTS = f"""
+WITH RECURSIVE {_CRC_TABLE},
+runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), 'null') AS doc, unnest(regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\\x{{C0}}-\\x{{FF}}]+')) AS run FROM documents
+), counted AS (SELECT doc, run, count(*) AS c, doc || ':' || run AS key FROM runs WHERE length(run) >= 6 GROUP BY doc, run),
+hashed AS (SELECT run, c, {_crc('key')} AS h FROM counted, crc_table),
+words AS (
+  SELECT word, sum(c) AS n
+  FROM (SELECT c, CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END
+               AS word FROM hashed)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(c) >= 5
+), cut AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+), near AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM words a JOIN cut b ON a.word = b.rest
+  UNION SELECT b.word, a.word, a.n FROM words a JOIN cut b ON a.word = b.rest
+), best AS (
+  SELECT word, count(*) AS n_near, min({{'less': -other_n, 'form': other}}) AS b FROM near GROUP BY word
+), forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN -b.less >= 5 * w.n THEN b.form END AS form,
+         CASE WHEN -b.less >= 5 * w.n THEN -b.less END AS form_n
+  FROM words w LEFT JOIN best USING (word)
+), walk AS (
+  SELECT word, word AS at FROM forms
+  UNION ALL
+  SELECT walk.word, f.form FROM walk JOIN forms f ON f.word = walk.at WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.form, r.root, CAST(f.n AS BIGINT) AS n, CAST(f.n_near AS BIGINT) AS n_near, CAST(f.form_n AS BIGINT) AS form_n
+FROM forms f JOIN (
+  SELECT walk.word, walk.at AS root FROM walk JOIN forms e ON e.word = walk.at WHERE e.form IS NULL) r USING (word)
+"""

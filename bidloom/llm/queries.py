@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from bidloom.llm import (
-    conversations, decontamination, jaccard, language, licenses, mixing, quality, secrets, sharding, simhash, toxicity,
-    warc,
+    conversations, decontamination, jaccard, language, licenses, mixing, quality, secrets, sharding, simhash, spelling,
+    toxicity, warc,
 )
 from bidloom.llm import oracles as sql
 from bidloom.registry.base import Query, table
@@ -55,6 +55,10 @@ def op10_language(spark, sf_dir):
     return language.language_table(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark, sf_dir):
+    return spelling.variant_table(table(spark, sf_dir, "documents"))
+
+
 def op12_conversation_repair(spark, sf_dir):
     return conversations.repair_table(table(spark, sf_dir, "conversations"))
 
@@ -74,6 +78,7 @@ QUERIES: dict[str, Query] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_simhash_groups": op9_simhash_groups,
     "op10_language": op10_language,
+    "op11_spelling_variants": op11_spelling_variants,
     "op12_conversation_repair": op12_conversation_repair,
     "op13_ngram_jaccard": op13_ngram_jaccard,
 }
@@ -83,5 +88,6 @@ ORACLES: dict[str, str] = {
     "op5_warc_round_trip": sql.WARC_ROUND_TRIP,
     "op6_mix_sources": sql.MIX_SOURCES,
     "op8_secret_scan": sql.SECRET_SCAN,
+    "op11_spelling_variants": sql.SPELLING_VARIANTS,
     "op12_conversation_repair": sql.REPAIR_CONVERSATIONS,
 }
