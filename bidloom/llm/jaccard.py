@@ -6,11 +6,12 @@ sets meet only on these prefixes; pairs that meet pass the length, positional an
 once. N-grams that only one document has cannot be shared; they take places at the front of the order but are never
 joined, and a document in which they fill the prefix is left out early.
 
-A bucket of a prefix n-gram is first compared with one of its members. What is linked by then needs no further
-comparison, so a large group of near copies costs one comparison a member. A bucket that is still crowded with
-different components is divided: pairs in it share a second n-gram within the prefix that is one longer, a third within
-the next, and so on, which is the same prefix filter applied to the rest of the sets. No bucket's pairs are listed
-before it has at most BUCKET members.
+A bucket of a prefix n-gram is first compared with one of its members, in a few rounds with another one if many are
+left. What is linked by then needs no further comparison, so a large group of near copies costs a few comparisons a
+member. Then the members outside a bucket's largest component, if they are at most BUCKET, are compared with all others.
+A bucket that still has more is divided: its pairs share a second n-gram within the prefix that is one longer, which is
+the same prefix filter applied to the rest of the sets. What is still crowded then is compared in blocks of BUCKET
+members, of which only pairs that pass the filters are written.
 """
 
 from __future__ import annotations
@@ -33,16 +34,20 @@ from bidloom.session import materialize
 SHINGLE = 4
 # Links need this many hundredths of the union in common.
 PERCENT = 85
-# Members of a bucket that are compared with each other; larger buckets are divided.
+# Members of a bucket that are compared with all of it; buckets with more outside their largest component are divided.
 BUCKET = 128
+# Rounds with one member of each bucket, and n-grams that the members of a bucket share before blocks are compared.
+ROUNDS, DEEPEST = 4, 2
 # Parts of the hash range in which the suffix filter compares counts.
 PARTS = 16
 # The filter of shared n-grams: SEGMENTS of SEGMENT_BITS bits, PROBES bits for each n-gram; 16 MiB at every size.
 SEGMENTS, SEGMENT_BITS, PROBES = 256, 1 << 19, 4
 # Pairs of one document that are verified in one task.
 VERIFIED = 1024
-# Bytes of a text that are split at once, words that are remembered, and hashes in one output batch.
-PIECE, REMEMBERED, STEP = 1 << 20, 1 << 18, 1 << 20
+# Parts of the n-grams that are counted apart, the most tasks of that step.
+COUNTED = 1 << 13
+# Bytes of a text that are split at once, words that are remembered, and words that are hashed at once.
+PIECE, REMEMBERED, STEP = 1 << 20, 1 << 18, 1 << 19
 _SEED = 42
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
@@ -51,10 +56,12 @@ _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 # --- sets -------------------------------------------------------------------
 
 class _WordHashes(dict):
+    """Hashes of words; the first REMEMBERED ones, among them the frequent ones, are kept."""
+
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[word] = code = xxhash.xxh64_intdigest(word, _SEED)
+        code = xxhash.xxh64_intdigest(word, _SEED)
+        if len(self) < REMEMBERED:
+            self[word] = code
         return code
 
 
@@ -69,46 +76,77 @@ def _pieces(raw: bytes) -> Iterator[bytes]:
         start = end
 
 
-def ngram_set(text: str | None, ngram: int, known: dict) -> np.ndarray:
-    """Sorted distinct hashes of the text's word n-grams; fewer words are one, no words none."""
-    parts = [np.zeros(0, np.uint64)]
-    for piece in _pieces((text or "").encode("utf-8", "replace").translate(_LOWER)):
-        words = piece.split()
-        parts.append(np.fromiter(map(known.__getitem__, words), np.uint64, len(words)))
-    words = np.concatenate(parts)
-    if not len(words):
-        return words
-    width = min(ngram, len(words))
-    many = len(words) - width + 1
-    hashes = words[:many] + np.uint64(width)
-    for k in range(1, width):
-        hashes = mixed(hashes) + words[k:k + many]
-    return np.unique(mixed(hashes))
-
+def ngram_sets(texts: list[str | None], ngram: int, known: dict) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, sizes): the distinct hashes of each text's word n-grams, sorted, one text after the other.
 
-def _texts(batches: Iterator[pa.RecordBatch], ngram: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
-    """Slices of the rows with their sets, of about STEP hashes each."""
+    A text with fewer words than an n-gram has one hash, a text without words none.
+    """
+    parts, lengths = [], np.zeros(len(texts), np.int64)
+    for at, text in enumerate(texts):
+        for piece in _pieces((text or "").encode("utf-8", "replace").translate(_LOWER)):
+            words = piece.split()
+            lengths[at] += len(words)
+            parts.append(np.fromiter(map(known.__getitem__, words), np.uint64, len(words)))
+    words = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+    many = max(len(words) - ngram + 1, 0)
+    hashes = words[:many] + np.uint64(ngram)
+    for k in range(1, ngram):
+        hashes = mixed(hashes) + words[k:k + many]
+    hashes = mixed(hashes)
+    out, end = [], 0
+    for length in lengths.tolist():
+        start, end = end, end + length
+        if length >= ngram:
+            own = np.sort(hashes[start:end - ngram + 1])
+            out.append(own[np.append(True, own[1:] != own[:-1])])
+        elif length:
+            code = words[start:start + 1] + np.uint64(length)
+            for k in range(1, length):
+                code = mixed(code) + words[start + k:start + k + 1]
+            out.append(mixed(code))
+        else:
+            out.append(words[:0])
+    sizes = np.array([len(s) for s in out], np.int64)
+    return (np.concatenate(out) if out else words), sizes
+
+
+def _texts(batches: Iterator[pa.RecordBatch], ngram: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Slices of the rows with their sets, of about STEP words each."""
     known = _WordHashes()
     for batch in batches:
-        start, found, size = 0, [], 0
-        column = batch.column(batch.schema.get_field_index("text"))
-        for at in range(batch.num_rows):
-            found.append(ngram_set(column[at].as_py(), ngram, known))
-            size += len(found[-1])
-            if size >= STEP or at == batch.num_rows - 1:
-                yield batch.slice(start, at + 1 - start), found
-                start, found, size = at + 1, [], 0
+        texts, start, size = batch.column(batch.schema.get_field_index("text")).to_pylist(), 0, 0
+        for at, text in enumerate(texts):
+            size += len(text or "") // 6
+            if size >= STEP or at == len(texts) - 1:
+                yield batch.slice(start, at + 1 - start), *ngram_sets(texts[start:at + 1], ngram, known)
+                start, size = at + 1, 0
 
 
-def shared_ngrams(docs: DataFrame, ngram: int) -> DataFrame:
-    """h: the n-grams that at least two documents have; counted before the shuffle and after it."""
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, found in _texts(batches, ngram):
-            hashes, counts = np.unique(np.concatenate(found), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(counts.astype(np.int64))], ["h", "c"])
+def shared_ngrams(docs: DataFrame, ngram: int, parts: int = COUNTED) -> DataFrame:
+    """h: the n-grams that at least two documents have.
 
-    counts = docs.select("text").mapInArrow(counted, "h bigint, c bigint")
-    return counts.groupBy("h").agg(F.sum("c").alias("c")).filter("c > 1").select("h")
+    The n-grams of a slice are dealt to `parts` by their first bits, each part as one array; those that a slice has
+    more than once are reduced before. A part is counted after the shuffle, where it may spill.
+    """
+    shift = np.uint64(64 - (parts - 1).bit_length())
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, hashes, _ in _texts(batches, ngram):
+            hashes.sort()
+            new = np.append(True, hashes[1:] != hashes[:-1])[:len(hashes)]
+            # Twice in the slice is all that has to be known of a hash that it has more often.
+            second = np.append(False, ~new[1:] & new[:-1])[:len(hashes)]
+            kept = hashes[new | second]
+            if len(kept):
+                part, first = np.unique(kept >> shift, return_index=True)
+                offsets = np.append(first, len(kept)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(part.astype(np.int64)), pa.ListArray.from_arrays(offsets, pa.array(kept.view(np.int64)))],
+                    ["part", "hashes"])
+
+    arrays = docs.select("text").mapInArrow(dealt, "part bigint, hashes array<bigint>").repartition("part")
+    return arrays.select("part", F.explode("hashes").alias("h")).groupBy("part", "h").agg(
+        F.count(F.lit(1)).alias("c")).filter("c > 1").select("h")
 
 
 def _bits(hashes: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -157,15 +195,16 @@ def document_sets(docs: DataFrame, table: np.ndarray, ngram: int, percent: int)
     bits = docs.sparkSession.sparkContext.broadcast(table)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, found in _texts(batches, ngram):
-            sizes = np.array([len(s) for s in found])
-            of = np.repeat(np.arange(len(found)), sizes)
-            hashes = np.concatenate(found)
+        for rows, hashes, sizes in _texts(batches, ngram):
+            of = np.repeat(np.arange(len(sizes)), sizes)
             held = _held(bits.value, hashes)
-            sums = [np.zeros(len(found), np.uint64) for _ in range(2)]
-            np.add.at(sums[0], of, hashes)
-            np.add.at(sums[1], of, mixed(hashes ^ np.uint64(0x5851F42D4C957F2D)))
-            passed = np.bincount(of, held, len(found))
+            # Sums over each row's hashes, from running sums: unsigned numbers wrap around.
+            ends = np.cumsum(sizes)
+            sums = []
+            for values in (hashes, mixed(hashes ^ np.uint64(0x5851F42D4C957F2D))):
+                running = np.append(np.uint64(0), np.cumsum(values, dtype=np.uint64))
+                sums.append(running[ends] - running[ends - sizes])
+            passed = np.bincount(of, held, len(sizes))
             live = (passed * 100 >= percent * sizes) & (sizes > 0)
             met, kept, start = set(), [], 0
             for at, size in enumerate(sizes.tolist()):
@@ -175,7 +214,7 @@ def document_sets(docs: DataFrame, table: np.ndarray, ngram: int, percent: int)
                 met.add(key)
                 start += size
             yield pa.RecordBatch.from_arrays([
-                rows.column(rows.schema.get_field_index("doc_id")), pa.array(sizes.astype(np.int64)),
+                rows.column(rows.schema.get_field_index("doc_id")), pa.array(sizes),
                 pa.array(sums[0].view(np.int64)), pa.array(sums[1].view(np.int64)), pa.array(live),
                 pa.array(kept, pa.list_(pa.int64())),
             ], ["doc_id", "n", "k1", "k2", "live", "hashes"])
@@ -277,48 +316,80 @@ def linked_roots(sets: DataFrame, percent: int = PERCENT, bucket: int = BUCKET)
         roots = components(known.unionByName(found))
         return True
 
-    def live(rows: DataFrame) -> DataFrame:
-        member = F.struct(*_MEMBER)
-        return rows.groupBy("key").agg(
-            F.count(F.lit(1)).alias("members"), F.min("root").alias("_low"), F.max("root").alias("_high"),
-            F.min_by(member, F.col("cid")).alias("hub")).filter("_low <> _high").drop("_low", "_high")
-
+    def rooted(rows: DataFrame) -> DataFrame:
+        return materialize(_rooted(rows, roots), "jaccard_filed")
+
+    def buckets(rows: DataFrame, turn: int) -> DataFrame:
+        """Buckets with several components: members, main (the largest component), minors (members outside of it), hub
+        (a member, another one in each turn but the same in most buckets of a group)."""
+        order = F.xxhash64("cid", F.lit(turn))
+        each = rows.groupBy("key", "root").agg(
+            F.count(F.lit(1)).alias("n"), F.min_by(F.struct(*_MEMBER), order).alias("m"), F.min(order).alias("o"))
+        return materialize(each.groupBy("key").agg(
+            F.sum("n").alias("members"), (F.sum("n") - F.max("n")).alias("minors"), F.max_by("root", "n").alias("main"),
+            F.min_by("m", "o").alias("hub"), F.count(F.lit(1)).alias("_roots"),
+        ).filter("_roots > 1").drop("_roots"), "jaccard_buckets")
+
+    me, hub = F.struct(*_MEMBER), F.col("hub")
     while True:
-        filed = materialize(_rooted(filed, roots), "jaccard_filed")
-        open_ = materialize(live(filed), "jaccard_buckets")
-        met = attach(filed, open_, ["key"], "members")
-        me, hub = F.struct(*_MEMBER), F.col("hub")
-        if check(met.filter((hub["root"] != F.col("root")) & _may_link(me, hub, depth, percent)).select(
-                F.least("cid", hub["cid"]).alias("a"), F.greatest("cid", hub["cid"]).alias("b"))):
-            filed = materialize(_rooted(filed.drop("root"), roots), "jaccard_filed")
-            open_ = materialize(live(filed), "jaccard_buckets")
-        quiet = filed.join(open_.filter(F.col("members") <= bucket).select("key"), "key").groupBy("key").agg(
-            F.collect_list(F.struct(*_MEMBER)).alias("held"))
-        check(quiet.select(F.explode(_pairs(F.col("held"), depth, percent)).alias("p")).select("p.a", "p.b"))
-        crowded = open_.filter(F.col("members") > bucket)
+        filed = rooted(filed)
+        open_ = buckets(filed, 0)
+        for turn in range(1, ROUNDS + 1):
+            met = attach(filed, open_, ["key"], "members").filter(
+                (hub["root"] != F.col("root")) & _may_link(me, hub, depth, percent))
+            if not check(met.select(_pair(F.col("cid"), hub["cid"]).alias("p")).select("p.a", "p.b")):
+                break
+            filed = rooted(filed.drop("root"))
+            open_ = buckets(filed, turn)
+            if not open_.filter(F.col("minors") > bucket).head(1):
+                break
+        few = open_.filter(F.col("minors") <= bucket).drop("hub")
+        outside = attach(filed, few, ["key"], "members").filter("root <> main").groupBy("key").agg(
+            F.collect_list(me).alias("held"))
+        compared = materialize(few.select("key", "members").join(outside, "key"), "jaccard_outside")
+        near = F.filter("held", lambda y: (y["root"] != F.col("root")) & _may_link(me, y, depth, percent))
+        check(attach(filed, compared, ["key"], "members").select(F.explode(
+            F.transform(near, lambda y: _pair(F.col("cid"), y["cid"]))).alias("p")).select("p.a", "p.b"))
+        crowded = open_.filter(F.col("minors") > bucket).drop("hub", "main", "minors")
         if not crowded.head(1):
-            return links.toDF("node", "root") if roots is None else roots
-        rest = attach(filed, crowded.drop("hub"), ["key"], "members").select("cid", "n", "own", "parts", "at", "key")
+            break
+        rest = attach(filed, crowded, ["key"], "members")
+        if depth == DEEPEST:
+            check(_in_blocks(rest, bucket, depth, percent))
+            break
         tokens = sets.select(F.col("cid").alias("_cid"), "tokens")
         # The next common n-gram is after this one, and at most `budget` n-grams that are not common come before it.
         nearby = F.slice("tokens", (F.col("at") - F.col("own") + 2).cast("int"), F.greatest(
             budget + depth - F.col("at"), F.lit(0)).cast("int"))
-        filed = rest.join(tokens, F.col("cid") == F.col("_cid")).select(
+        filed = rest.select("cid", "n", "own", "parts", "at", "key").join(tokens, F.col("cid") == F.col("_cid")).select(
             "cid", "n", "own", "parts", F.col("at").alias("_at"), F.col("key").alias("_key"),
             F.posexplode(nearby).alias("place", "h"),
         ).select("cid", "n", "own", "parts", F.xxhash64("_key", "h").alias("key"),
                  (F.col("_at") + 1 + F.col("place")).alias("at"))
         depth += 1
+    return links.toDF("node", "root") if roots is None else roots
+
+
+def _pair(x: Column, y: Column) -> Column:
+    return F.struct(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
+
 
+def _in_blocks(rows: DataFrame, bucket: int, depth: int, percent: int) -> DataFrame:
+    """a, b: the pairs of crowded buckets (key, members) that pass the filters, block by block of about `bucket`."""
+    blocks = F.ceil(F.col("members") / bucket).cast("int")
+    cut = rows.withColumn("block", F.pmod(F.xxhash64("cid"), blocks).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    member = F.struct(*_MEMBER, "block")
+    met = cut.groupBy("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")).agg(
+        F.collect_list(member).alias("held"))
 
-def _pairs(held: Column, depth: int, percent: int) -> Column:
-    """The pairs (a < b) of a small bucket that are in different components and pass the filters."""
     def partners(x: Column) -> Column:
-        others = F.filter(held, lambda y: (y["cid"] > x["cid"]) & (y["root"] != x["root"])
-                          & _may_link(x, y, depth, percent))
-        return F.transform(others, lambda y: F.struct(x["cid"].alias("a"), y["cid"].alias("b")))
+        across = F.col("low") == F.col("high")
+        others = F.filter("held", lambda y: (y["cid"] > x["cid"]) & (y["root"] != x["root"])
+                          & (across | (y["block"] != x["block"])) & _may_link(x, y, depth, percent))
+        return F.transform(others, lambda y: _pair(x["cid"], y["cid"]))
 
-    return F.flatten(F.transform(held, partners))
+    return met.select(F.explode(F.flatten(F.transform("held", partners))).alias("p")).select("p.a", "p.b")
 
 
 def component_table(docs: DataFrame, ngram: int = SHINGLE, percent: int = PERCENT, bucket: int = BUCKET) -> DataFrame:
