@@ -17,17 +17,50 @@ ACCESS = r"AKIA[A-Z0-9]{14,}"
 HEX = r"[0-9a-f]{16,}"
 KINDS = ("assign", "access", "hex")
 
-# Candidate strings of the entropy scan, its window, and the least bits for each character class. Natural words stay
-# under the limits: a candidate of letters alone has to be more varied than any prose.
+# Candidate strings of the entropy scan, its window, and the least bits for each character class; the first class that
+# fits counts. Limits go by the alphabet: letters whose case changes inside are 52 signs and no prose, capitals alone are
+# 26 signs and rarely prose, other letters have to be more varied than long natural words.
 CANDIDATE = r"[A-Za-z0-9+/=_-]{20,}"
 WINDOW = 20
-CLASSES = (("entropy_hex", r"^[0-9a-fA-F]+$", 2.9), ("entropy_alpha", r"^[A-Za-z]+$", 4.1),
-           ("entropy_mixed", r"^", 3.7))
+CLASSES = (("entropy_hex", r"^[0-9a-fA-F]+$", 2.9), ("entropy_cased", r"^[A-Za-z]*[a-z][A-Z][A-Za-z]*$", 3.7),
+           ("entropy_upper", r"^[A-Z]+$", 3.5), ("entropy_alpha", r"^[A-Za-z]+$", 3.75), ("entropy_mixed", r"^", 3.7))
+# Matches whose positions are summed in one step.
+CHUNK = 256
 # Candidates that match one of these are known to be harmless: documentation samples, runs of one sign, identifiers.
 ALLOWED = (r"(?i)example", r"(?i)^(.)\1+$", r"(?i)^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$",
            r"(?i)(0123456789|abcdefghijkl)", r"^[=_+/-]+$")
 
 
+def _positions(pairs: Column) -> Column:
+    """start, end and value from the text before each match and the match itself.
+
+    Chunks of matches are measured first, so that no array grows by more than CHUNK matches or one entry a chunk.
+    """
+    empty = F.array().cast("array<struct<start:bigint,end:bigint,value:string>>")
+    zero = F.lit(0).cast("bigint")
+
+    def chunk(k: Column) -> Column:
+        return F.slice(pairs, k * CHUNK + 1, F.lit(CHUNK))
+
+    def measured(k: Column) -> Column:
+        return F.aggregate(chunk(k), zero, lambda n, p: n + F.length(p["piece"]) + F.length(p["value"]))
+
+    def begun(state, size):
+        return F.struct((state["at"] + size).alias("at"), F.concat(state["starts"], F.array(state["at"])).alias("starts"))
+
+    def step(state, pair):
+        start = state["at"] + F.length(pair["piece"])
+        end = start + F.length(pair["value"])
+        span = F.struct(start.alias("start"), end.alias("end"), pair["value"].alias("value"))
+        return F.struct(end.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans"))
+
+    chunks = F.sequence(F.lit(0), F.floor((F.size(pairs) - 1) / CHUNK).cast("int"))
+    first = F.struct(zero.alias("at"), F.array().cast("array<bigint>").alias("starts"))
+    starts = F.aggregate(F.transform(chunks, measured), first, begun)["starts"]
+    return F.flatten(F.zip_with(chunks, starts, lambda k, at: F.aggregate(
+        chunk(k), F.struct(at.alias("at"), empty.alias("spans")), step)["spans"]))
+
+
 def matches(text: Column, pattern: str) -> Column:
     """start, end and value of the leftmost non-overlapping matches, in code points; the end is exclusive.
 
@@ -35,18 +68,9 @@ def matches(text: Column, pattern: str) -> Column:
     """
     def located(found: Column) -> Column:
         between = F.split(text, pattern, -1)
-        zero = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(
-            "array<struct<start:bigint,end:bigint,value:string>>").alias("spans"))
-
-        def step(state, pair):
-            start = state["at"] + F.length(pair["piece"])
-            end = start + F.length(pair["value"])
-            span = F.struct(start.alias("start"), end.alias("end"), pair["value"].alias("value"))
-            return F.struct(end.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans"))
-
         pairs = F.zip_with(F.slice(between, 1, F.size(found)), found,
                            lambda a, b: F.struct(a.alias("piece"), b.alias("value")))
-        return F.aggregate(pairs, zero, step)["spans"]
+        return bound_to(pairs, _positions)
 
     none = F.array().cast("array<struct<start:bigint,end:bigint,value:string>>")
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
@@ -61,32 +85,35 @@ def _entropy_sum(count: Column) -> Column:
 def best_entropy(value: Column, window: int = WINDOW) -> Column:
     """The largest Shannon entropy, in bits, of any `window` neighbouring characters.
 
-    One pass: a step adds a character's count and, once the window is full, takes the leaving one's away, so only two
-    terms of the sum change. Signs are ASCII, a count each.
+    One pass over the characters' codes: a step takes the leaving character's count away, once the window is full, and
+    adds the entering one's, so only two terms of the sum change; both counts are taken within the window.
     """
-    zero = F.struct(
-        F.array_repeat(F.lit(0), 128).alias("counts"), F.lit(0.0).alias("sum"), F.lit(float("inf")).alias("least"))
+    return bound_to(F.transform(F.split(value, ""), lambda c: F.ascii(c)), lambda codes: _best_of(codes, window))
+
 
-    def changed(counts: Column, code: Column, by: int) -> Column:
-        return F.transform(counts, lambda c, i: F.when(i == code, c + by).otherwise(c))
+def _best_of(codes: Column, window: int) -> Column:
+    def count(code: Column, first: Column, last: Column) -> Column:
+        """How often `code` stands at the places from `first` to `last`."""
+        return F.size(F.filter(F.slice(codes, first, last - first + 1), lambda c: c == code))
 
     def step(state, i):
-        entering = F.ascii(F.substring(value, i, F.lit(1)))
-        leaving = F.when(i > window, F.ascii(F.substring(value, i - window, F.lit(1)))).otherwise(F.lit(-1))
-        gone = F.coalesce(F.get(state["counts"], leaving), F.lit(0))
-        without = F.when(leaving < 0, state["counts"]).otherwise(changed(state["counts"], leaving, -1))
-        less = state["sum"] - F.when(leaving < 0, F.lit(0.0)).otherwise(_entropy_sum(gone) - _entropy_sum(gone - 1))
-
-        def entered(kept: Column) -> Column:
-            had = F.get(kept, entering)
-            total = less - _entropy_sum(had) + _entropy_sum(had + 1)
-            least = F.when(i >= window, F.least(state["least"], total)).otherwise(state["least"])
-            return F.struct(changed(kept, entering, 1).alias("counts"), total.alias("sum"), least.alias("least"))
-
-        return bound_to(without, entered)
-
-    steps = F.sequence(F.lit(1), F.length(value))
-    least = F.aggregate(steps, zero, step)["least"]
+        left = F.greatest(i - window, F.lit(1))
+        full = i > window
+
+        def without(leaving: Column) -> Column:
+            gone = count(leaving, left, i - 1)
+            return state["sum"] - F.when(full, _entropy_sum(gone) - _entropy_sum(gone - 1)).otherwise(F.lit(0.0))
+
+        def entered(entering: Column) -> Column:
+            return bound_to(count(entering, F.when(full, left + 1).otherwise(left), i - 1), lambda had: bound_to(
+                bound_to(F.element_at(codes, left), without) - _entropy_sum(had) + _entropy_sum(had + 1),
+                lambda total: F.struct(total.alias("sum"), F.when(i >= window, F.least(state["least"], total)).otherwise(
+                    state["least"]).alias("least"))))
+
+        return bound_to(F.element_at(codes, i), entered)
+
+    zero = F.struct(F.lit(0.0).alias("sum"), F.lit(float("inf")).alias("least"))
+    least = F.aggregate(F.sequence(F.lit(1), F.size(codes)), zero, step)["least"]
     # H = log2(w) - sum(c log2 c) / w: the smallest sum is the largest entropy.
     return F.log2(F.lit(float(window))) - least / window
 
@@ -147,7 +174,11 @@ def with_spans(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def secret_table(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n_assign, n_access, n_hex, base_sha256, spans."""
+    """One row per document: doc_id, n_assign, n_access, n_hex, base_sha256, spans.
+
+    Null and empty texts have no spans. Repeated rows are scanned each, other columns are ignored, an empty table gives
+    no rows. Cost grows with the length of a text, whatever candidates and matches it has.
+    """
     rows = with_spans(docs.select("doc_id", "text")).select("doc_id", "base", "found")
 
     def count(kind: str) -> Column:

@@ -1,5 +1,9 @@
+import base64
 import math
+import random
 import re
+import string
+import time
 from collections import Counter
 
 import pytest
@@ -41,6 +45,30 @@ def test_entropy_spans_and_allowed(docs_of):
     assert [rows[i].spans for i in (2, 3, 4, 5)] == ["", "", "", ""]
 
 
+def test_limits_go_by_the_alphabet(docs_of):
+    """Random letters are found by class; long natural words and names in capitals are not."""
+    rng = random.Random(9)
+
+    def share(letters, length):
+        texts = [(i, "".join(rng.choice(letters) for _ in range(length))) for i in range(200)]
+        return sum(bool(r.spans) for r in table(docs_of(texts)).values()) / 200
+
+    assert share(string.ascii_letters, 20) > 0.9 and share(string.ascii_letters, 32) > 0.98
+    assert share(string.ascii_uppercase, 24) > 0.9
+    rows = table(docs_of([(1, "Donaudampfschifffahrtsgesellschaft"), (2, "internationalizations antidisestablishmentarianism")]))
+    assert [rows[i].spans for i in (1, 2)] == ["", ""]
+
+
+def test_cost_grows_with_the_length(docs_of):
+    """One megabyte of base64, and 100,000 matches in one text."""
+    encoded = base64.b64encode(random.Random(5).randbytes(750_000)).decode()
+    started = time.monotonic()
+    rows = table(docs_of([(1, encoded), (2, "0123456789abcdef " * 100_000)]))
+    assert rows[1].spans == f"entropy_mixed:0:{len(encoded)}"
+    assert rows[2].n_hex == 100_000 and rows[2].spans.endswith(f"hex:{17 * 99_999}:{17 * 99_999 + 16}")
+    assert time.monotonic() - started < 120
+
+
 def test_positions_hold_in_the_text(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     texts = {r.doc_id: r.text for r in docs.collect()}
