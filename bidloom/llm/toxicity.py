@@ -1,6 +1,6 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling, trained and run in numpy.
 
-A word's input is the sum of a word embedding and the mean embedding of its character trigrams. Two gated recurrent
+A word's input is the sum of a word embedding and the mean embedding of its character n-grams. Two gated recurrent
 layers read a window of words forward and backward, attention pools their states, and a logistic unit scores the
 window. A document's score is that of its worst window; windows overlap, and all windows of the whole text count.
 """
@@ -21,18 +21,25 @@ from bidloom.llm.common import as_text
 # Words of a window, and words between the starts of two windows.
 WIDTH = 32
 STRIDE = 24
-# Rows of the word and trigram embeddings (chosen by a hash), their size, and units of each direction.
+# Rows of the word and n-gram embeddings (chosen by a hash), their size, and units of each direction.
 WORD_ROWS = 1 << 15
 CHAR_ROWS = 1 << 13
+# Lengths of character n-grams, in bytes.
+GRAMS = (3,)
 EMBEDDING = 12
 UNITS = 8
-# Learning: documents of either label, windows of a document, rounds, and the steps of a round.
-DOCUMENTS = 1000
-WINDOWS = 64
+# Learning: documents of either label and the bytes of their texts together, rounds, and the steps of a round.
+DOCUMENTS = 1500
+SAMPLE_BYTES = 8 << 20
 ROUNDS = 3
 STEPS = 160
 MINIBATCH = 192
 RATE = 0.01
+# Words in fewer learned documents than COMMON are known by their n-grams alone, and so is the share DROPPED of the
+# others in a step: what one document has cannot be learned by heart, and words never met are read as well.
+COMMON, DROPPED = 5, 0.5
+# What the running mean of the parameters keeps in a step.
+AVERAGED = 0.98
 # Windows scored at once, and words whose inputs a task remembers.
 BATCH = 2048
 REMEMBERED = 100_000
@@ -49,21 +56,33 @@ def split(text: str | None) -> list[bytes]:
 
 
 def features(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Embedding rows of words: the word's, and its trigrams' (with marked ends) as flat numbers with their starts."""
+    """Embedding rows of words: the word's, and its character n-grams' (with marked ends) as flat numbers with their
+    starts."""
     raw = np.frombuffer(b"".join(b"\x02" + w + b"\x03" for w in words), np.uint8).astype(np.uint64)
     lengths = np.fromiter(map(len, words), np.int64, len(words)) + 2
     starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
     owner = np.repeat(np.arange(len(words)), lengths)
     place = np.arange(len(raw)) - starts[owner]
     # A word's hash: its bytes as digits of a number, modulo 2^64.
-    power = np.cumprod(np.concatenate(([1], np.full(int(lengths.max()) - 1, 0x9E3779B97F4A7C15, np.uint64))).astype(np.uint64))
+    factors = np.full(int(lengths.max()), 0x9E3779B97F4A7C15, np.uint64)
+    factors[0] = 1
+    power = np.cumprod(factors)
     whole = np.add.reduceat(raw * power[place], starts)
     whole = (whole ^ (whole >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    tri = (raw[:-2] * np.uint64(65599 * 65599) + raw[1:-1] * np.uint64(65599) + raw[2:]) * np.uint64(0x9E3779B1)
-    inside = owner[2:] == owner[:-2]
-    tri_starts = np.concatenate(([0], np.cumsum(lengths - 2)[:-1]))
-    return ((whole >> np.uint64(40)) % np.uint64(WORD_ROWS)).astype(np.int64), (
-        (tri[inside] >> np.uint64(9)) % np.uint64(CHAR_ROWS)).astype(np.int64), tri_starts
+    parts, owners = [], []
+    for size in GRAMS:
+        many = max(len(raw) - size + 1, 0)
+        gram = np.full(many, size, np.uint64)
+        for k in range(size):
+            gram = gram * np.uint64(0x100000001B3) + raw[k:k + many]
+        inside = owner[:many] == owner[size - 1:]
+        gram = gram[inside] * np.uint64(0x9E3779B97F4A7C15)
+        parts.append((gram >> np.uint64(24)) % np.uint64(CHAR_ROWS))
+        owners.append(owner[:many][inside])
+    order = np.argsort(np.concatenate(owners), kind="stable")
+    grams = np.concatenate(parts)[order].astype(np.int64)
+    counts = np.bincount(np.concatenate(owners), minlength=len(words))
+    return ((whole >> np.uint64(40)) % np.uint64(WORD_ROWS)).astype(np.int64), grams, np.concatenate(([0], np.cumsum(counts)[:-1]))
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -80,7 +99,8 @@ class Network:
     def fresh(seed: int = 7) -> Network:
         rng = np.random.default_rng(seed)
         scale = lambda *shape, s: (rng.standard_normal(shape) * s).astype(np.float32)
-        p = {"word": scale(WORD_ROWS, EMBEDDING, s=0.1), "char": scale(CHAR_ROWS, EMBEDDING, s=0.1)}
+        # Words that learning never met add nothing: their n-grams speak for them.
+        p = {"word": np.zeros((WORD_ROWS, EMBEDDING), np.float32), "char": scale(CHAR_ROWS, EMBEDDING, s=0.1)}
         for side in "fb":
             p["w" + side] = scale(EMBEDDING, 3 * UNITS, s=0.3)
             p["u" + side] = scale(UNITS, 3 * UNITS, s=0.3)
@@ -121,11 +141,13 @@ class Network:
         logit = pooled @ self.p["out"] + self.p["bias"][0]
         return (logit, states, share, pooled, tape) if keep else logit
 
-    def gradients(self, word, tri, starts, index, mask, target) -> tuple[dict[str, np.ndarray], float]:
-        """Gradients of the mean cross-entropy. Distinct words (features) and `index` (time, window) into them."""
+    def gradients(self, word, tri, starts, index, mask, target, kept=1.0) -> tuple[dict[str, np.ndarray], float]:
+        """Gradients of the mean cross-entropy. Distinct words (features) and `index` (time, window) into them; `kept`
+        weighs the word embeddings, 0 for those that are left out of this step."""
         p = self.p
         counts = np.diff(np.concatenate((starts, [len(tri)])))[:, None].astype(np.float32)
-        x = p["word"][word] + np.add.reduceat(p["char"][tri], starts, axis=0) / counts
+        kept = np.broadcast_to(np.asarray(kept, np.float32), len(word))[:, None]
+        x = p["word"][word] * kept + np.add.reduceat(p["char"][tri], starts, axis=0) / counts
         per_word = np.concatenate([x @ p["w" + s] + p["c" + s] for s in "fb"], axis=1)
         logit, states, share, pooled, tape = self.run(per_word[index], mask, keep=True)
         chance = _sigmoid(logit)
@@ -161,7 +183,7 @@ class Network:
             g["w" + side], g["c" + side] = x.T @ part, part.sum(axis=0)
             d_x += part @ p["w" + side].T
         g["word"], g["char"] = np.zeros_like(p["word"]), np.zeros_like(p["char"])
-        np.add.at(g["word"], word, d_x)
+        np.add.at(g["word"], word, d_x * kept)
         np.add.at(g["char"], tri, np.repeat(d_x / counts, counts[:, 0].astype(int), axis=0))
         return g, loss
 
@@ -198,12 +220,13 @@ def _layout(texts: list[list[bytes]], known: dict[bytes, int]) -> tuple[np.ndarr
     return index, mask
 
 
-def train(documents: list[list[list[bytes]]], labels: list[int], seed: int = 7) -> Network | None:
+def train(documents: list[list[list[bytes]]], labels: list[int], odds: float = 0.5, seed: int = 7) -> Network | None:
     """A network from labelled documents, each a list of windows. None unless both labels occur.
 
     A toxic document is toxic somewhere. In the first round its window with the word most typical of toxic documents
     stands for it, later the window that the network scores highest. Clean documents give the windows that look worst
-    and others at random.
+    and others at random. A third of a minibatch is toxic; `odds` are those of a toxic document, for which the scores
+    are corrected at the end.
     """
     if len(set(labels)) < 2:
         return None
@@ -215,9 +238,9 @@ def train(documents: list[list[list[bytes]]], labels: list[int], seed: int = 7)
     word, tri, starts = features(list(known))
     ends = np.concatenate((starts[1:], [len(tri)]))
     toxic = np.array(labels)[owner] == 1
-    guess = _first_guess(documents, np.array(labels), known, word, tri, starts)
+    guess, spread = _first_guess(documents, np.array(labels), known, word, tri, starts)
     window_guess = np.where(mask > 0, guess[index], -np.inf).max(axis=0)
-    adam = _Adam(network)
+    adam, average = _Adam(network), {k: v.copy() for k, v in network.p.items()}
     for _ in range(ROUNDS):
         order = np.lexsort((-window_guess, owner))
         worst = order[np.concatenate(([True], owner[order][1:] != owner[order][:-1]))]
@@ -231,16 +254,21 @@ def train(documents: list[list[list[bytes]]], labels: list[int], seed: int = 7)
             local_starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
             local_tri = tri[np.repeat(starts[used] - local_starts, sizes) + np.arange(sizes.sum())]
             target = (np.arange(len(chosen)) < third).astype(np.float32)
+            kept = (rng.random(len(used)) >= DROPPED) & (spread[used] >= COMMON)
             adam.step(network.gradients(word[used], local_tri, local_starts, local.reshape(WIDTH, -1),
-                                        mask[:, chosen], target)[0])
+                                        mask[:, chosen], target, kept)[0])
+            for k, v in network.p.items():
+                average[k] += (1 - AVERAGED) * (v - average[k])
         gates = network.inputs(list(known))
         window_guess = np.concatenate([network.run(gates[index[:, i:i + BATCH]], mask[:, i:i + BATCH])
                                        for i in range(0, len(flat), BATCH)])
-    return network
+    # The running mean of the parameters depends less on the last minibatches than the parameters do.
+    average["bias"] = average["bias"] + np.float32(np.log(odds / 0.5))
+    return Network(average)
 
 
-def _first_guess(documents, labels, known, word, tri, starts) -> np.ndarray:
-    """For each word, the log-odds of toxic documents having it or its most telling trigram."""
+def _first_guess(documents, labels, known, word, tri, starts) -> tuple[np.ndarray, np.ndarray]:
+    """For each word, the log-odds of toxic documents having it or its most telling n-gram, and its documents."""
     counts = np.zeros((2, len(known)))
     tri_counts = np.zeros((2, CHAR_ROWS))
     ends = np.concatenate((starts[1:], [len(tri)]))
@@ -255,48 +283,66 @@ def _first_guess(documents, labels, known, word, tri, starts) -> np.ndarray:
         share = (c + 0.5) / (total[:, None] + 1.0)
         return np.log(share[1] / (1 - share[1])) - np.log(share[0] / (1 - share[0]))
 
-    return np.maximum(odds(counts), np.maximum.reduceat(odds(tri_counts)[tri], starts))
+    return np.maximum(odds(counts), np.maximum.reduceat(odds(tri_counts)[tri], starts)), counts.sum(axis=0)
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, documents: int = DOCUMENTS, most_windows: int = WINDOWS,
-                  seed: int = 7) -> tuple[list[list[list[bytes]]], list[int]]:
-    """A bounded sample of labelled documents: of each label those with the smallest hash of the doc_id.
+def training_rows(docs: DataFrame, labels: DataFrame, documents: int = DOCUMENTS, most_bytes: int = SAMPLE_BYTES,
+                  seed: int = 7) -> tuple[list[list[list[bytes]]], list[int], float]:
+    """A bounded sample of labelled documents, with all windows of all their texts, their labels, and the odds of a
+    toxic one among all that are labelled.
 
-    The windows of a document are all its windows, or `most_windows` of them at random if it has more.
+    Of each label those with the smallest hash of the doc_id: at most `documents`, and of these the ones whose texts
+    have at most `most_bytes` together. A document that does not fit any more is left out as a whole. Ids are compared
+    as text; an id that is labelled twice has the larger label, and all texts of an id are its document.
     """
-    marked = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
-        F.max("toxic").alias("toxic"))
-    marked = marked.withColumn("rank", F.xxhash64(F.lit(seed), "doc_id"))
+    marked = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy(
+        F.col("doc_id").cast("string").alias("wanted")).agg(F.max("toxic").cast("int").alias("toxic"))
+    marked = marked.withColumn("rank", F.xxhash64(F.lit(seed), "wanted"))
     counts = {r["toxic"]: r["n"] for r in marked.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     picked = []
     for label, n in sorted(counts.items()):
         # About twice the wanted number by a bound on the hash, then exactly the smallest.
         bound = int(min(1.0, 2.0 * documents / n) * 2.0**64 - 2.0**63)
         some = marked.filter((F.col("toxic") == label) & (F.col("rank") <= F.lit(min(bound, 2**63 - 1))))
-        picked += some.orderBy("rank", "doc_id").limit(documents).select("doc_id", "toxic").collect()
+        picked += some.orderBy("rank", "wanted").limit(documents).select("wanted", "toxic").collect()
+
+    def rows_of(chosen: list) -> DataFrame:
+        text = json.dumps([{"wanted": r["wanted"], "toxic": r["toxic"]} for r in chosen])
+        side = docs.sparkSession.range(1).select(
+            F.inline(F.from_json(F.lit(text), "array<struct<wanted:string,toxic:int>>")))
+        plain = docs.select(F.col("doc_id").cast("string").alias("_id"), F.coalesce("text", F.lit("")).alias("text"))
+        return plain.join(F.broadcast(side), F.col("_id") == F.col("wanted"), "inner")
+
+    odds = counts.get(1, 0) / max(counts.get(0, 0), 1)
     if not picked:
-        return [], []
-    text = json.dumps([{"wanted": r["doc_id"], "toxic": r["toxic"]} for r in picked])
-    wanted = docs.sparkSession.range(1).select(F.inline(F.from_json(F.lit(text), "array<struct<wanted:bigint,toxic:int>>")))
-    chosen = docs.select("doc_id", "text").join(F.broadcast(wanted), F.col("doc_id") == F.col("wanted"), "inner")
-    # Rows of one doc_id are one document.
-    chosen = chosen.groupBy("doc_id", "toxic").agg(F.first("text").alias("text"))
+        return [], [], odds
+    sizes = {r["wanted"]: r["size"] for r in rows_of(picked).groupBy("wanted").agg(
+        F.sum(F.octet_length("text")).alias("size")).collect()}
+    used, chosen = {label: 0 for label in counts}, []
+    for row in picked:
+        size = sizes.get(row["wanted"])
+        if size is not None and used[row["toxic"]] + size <= most_bytes:
+            used[row["toxic"]] += size
+            chosen.append(row)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for doc_id, toxic, body in zip(batch["doc_id"], batch["toxic"], batch["text"]):
+            for doc_id, toxic, body in zip(batch["wanted"], batch["toxic"], batch["text"]):
                 words = split(body)
-                starts = windows(len(words))
-                if len(starts) > most_windows:
-                    few = np.random.default_rng(int(doc_id) % 2**32).choice(len(starts), most_windows, replace=False)
-                    starts = [starts[i] for i in sorted(few)]
-                rows.append((doc_id, toxic, [b" ".join(words[s:s + WIDTH]).decode("utf-8", "replace") for s in starts]))
-            yield pd.DataFrame(rows, columns=["doc_id", "toxic", "windows"])
+                rows.append((doc_id, toxic, [b" ".join(words[s:s + WIDTH]).decode("utf-8", "replace")
+                                             for s in windows(len(words))]))
+            yield pd.DataFrame(rows, columns=["wanted", "toxic", "windows"])
 
-    found = chosen.mapInPandas(cut, "doc_id bigint, toxic int, windows array<string>").collect()
-    found = [r for r in sorted(found, key=lambda r: r["doc_id"]) if any(r["windows"])]
-    return [[w.encode().split() for w in r["windows"]] for r in found], [r["toxic"] for r in found]
+    if not chosen:
+        return [], [], odds
+    found = rows_of(chosen).select("wanted", "toxic", "text").mapInPandas(
+        cut, "wanted string, toxic int, windows array<string>").collect()
+    texts: dict[str, tuple[int, list[str]]] = {}
+    for row in sorted(found, key=lambda r: (r["wanted"], r["windows"])):
+        texts.setdefault(row["wanted"], (row["toxic"], []))[1].extend(w for w in row["windows"] if w)
+    kept = [(toxic, found) for toxic, found in texts.values() if found]
+    return [[w.encode().split() for w in found] for _, found in kept], [toxic for toxic, _ in kept], odds
 
 
 def scorer(network: Network | None):
@@ -358,9 +404,13 @@ def held_out(doc_id, folds: int = 4, fold: int = 2):
 
 
 def toxicity_table(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """One row per document: doc_id, held_out, score, predicted. Learns from labels of the other folds."""
-    documents, marks = training_rows(docs, labels.filter(~held_out(F.col("doc_id"))))
-    network = train(documents, marks) if documents else None
+    """One row per document: doc_id, held_out, score, predicted. Learns from labels of the other folds.
+
+    Null and empty texts, and texts without words, have score 0. Repeated rows are scored each and alike; other columns
+    are ignored; an empty table gives no rows. Without labels of both kinds every score is 0.
+    """
+    documents, marks, odds = training_rows(docs, labels.filter(~held_out(F.col("doc_id"))))
+    network = train(documents, marks, odds) if documents else None
     slim = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
     rows = score(slim, network, ["doc_id", "held_out"])
     return rows.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

@@ -38,7 +38,61 @@ def test_features_do_not_depend_on_the_batch():
     for i, w in enumerate(words):
         alone = tox.features([w])
         assert word[i] == alone[0][0]
-        assert (tri[starts[i]:][:len(w)] == alone[1]).all()
+        assert (tri[starts[i]:][:len(alone[1])] == alone[1]).all()
+
+
+def test_long_words_differ():
+    """Words with equal starts have rows of their own: the whole word is hashed."""
+    words = [b"kill", b"killing", b"killjoy", b"killer", b"international", b"internet", b"internal", b"abcdeXYZ", b"abcdX", b"abcdY"]
+    many = [b"international" + str(i).encode() for i in range(2000)]
+    assert len(set(tox.features(words)[0].tolist())) == len(words)
+    assert len(set(tox.features(many)[0].tolist())) > 1900
+
+
+def plain_score(network, text):
+    """The network, word by word, in plain numpy."""
+    p, words, best = {k: v.astype(float) for k, v in network.p.items()}, tox.split(text), None
+    for start in tox.windows(len(words)):
+        xs = []
+        for w in words[start:start + tox.WIDTH]:
+            row, tri, _ = tox.features([w])
+            xs.append(p["word"][row[0]] + p["char"][tri].mean(axis=0))
+        states = []
+        for side, order in (("f", range(len(xs))), ("b", range(len(xs) - 1, -1, -1))):
+            h, out = np.zeros(tox.UNITS), {}
+            for t in order:
+                z, r, n = np.split(xs[t] @ p["w" + side] + p["c" + side], 3)
+                uz, ur, un = np.split(p["u" + side], 3, axis=1)
+                z, r = 1 / (1 + np.exp(-z - h @ uz)), 1 / (1 + np.exp(-r - h @ ur))
+                h = z * h + (1 - z) * np.tanh(n + (r * h) @ un)
+                out[t] = h
+            states.append([out[t] for t in range(len(xs))])
+        both = np.concatenate(states, axis=1)
+        share = np.exp(both @ p["attend"])
+        value = 1 / (1 + np.exp(-(share / share.sum()) @ both @ p["out"] - p["bias"][0]))
+        best = value if best is None else max(best, value)
+    return 0.0 if not words else best
+
+
+def test_against_plain_numpy(docs_of):
+    rng = np.random.default_rng(3)
+    vocabulary = [f"word{i}" for i in range(40)] + ["élan", "ÜBER", "a"]
+    texts = [" ".join(rng.choice(vocabulary, n)) for n in (1, 5, 31, 32, 33, 80, 300)]
+    network = tox.Network.fresh(4)
+    rows = tox.score(docs_of(list(enumerate(texts))), network, ["doc_id"]).collect()
+    for row in rows:
+        assert row.score == pytest.approx(plain_score(network, texts[row.doc_id]), abs=1e-5)
+
+
+def test_all_texts_of_an_id_are_learned_from(docs_of, labels_of):
+    """In any order of the rows, and whole documents only beyond the bound."""
+    long = " ".join(f"w{i}" for i in range(5000))
+    rows = [(1, "one text"), (1, "another text"), (2, long), (3, "clean words"), (None, "x"), (4, None)]
+    labels = labels_of([(1, 1, 1), (2, 1, 0), (3, 1, 0), (4, 1, 1), (None, 1, 1)])
+    first = tox.training_rows(docs_of(rows), labels)
+    assert first == tox.training_rows(docs_of(rows[::-1]).repartition(3), labels)
+    assert sorted(map(len, first[0])) == [1, 2, len(tox.windows(5000))] and sorted(first[1]) == [0, 0, 1]
+    assert sorted(map(len, tox.training_rows(docs_of(rows), labels, most_bytes=100)[0])) == [1, 2]
 
 
 def test_held_out(spark):
