@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bidloom.operators import quantiles
+from bidloom.session import materialize
+
 # Product of two row counts: a hot key on both sides passes the range of a long.
 _WIDE = "decimal(19,0)"
 
@@ -15,28 +18,22 @@ def key_counts(df: DataFrame, keys: list[str], name: str, names: list[str] | Non
     return df.groupBy(*renamed).agg(F.count(F.lit(1)).alias(name))
 
 
-def _spread(value: Column, copies: Column, prefix: str = "") -> list[Column]:
-    """Exact p50/p75/p95 and maximum of a value that occurs `copies` times; null values are skipped."""
-    def at(share: float) -> Column:
-        return F.percentile(value.cast("double"), F.lit(share), copies)
+SHARES = {"p50": 0.50, "p75": 0.75, "p95": 0.95}
 
-    return [
-        at(0.50).alias(f"{prefix}p50"), at(0.75).alias(f"{prefix}p75"), at(0.95).alias(f"{prefix}p95"),
-        F.max(value.cast("decimal(38,0)")).alias(f"{prefix}max"),
-    ]
 
+def _with_spread(sizes: DataFrame, values: DataFrame, value: str, copies: str) -> DataFrame:
+    """Adds the exact p50/p75/p95 of a value that occurs `copies` times; null values are skipped."""
+    found = quantiles.exact_quantiles(values, value, copies, list(SHARES.values()))
+    return sizes.withColumns({name: F.lit(q).cast("double") for name, q in zip(SHARES, found)})
 
-def value_profile(df: DataFrame, value: str) -> DataFrame:
-    """Count, sum, mean, p50/p75/p95 and maximum of a whole-number column.
 
-    The column is first reduced to one row per distinct value; k different row counts need about k*k/2 rows in the
-    data, so the exact percentile never holds more than a few million values.
-    """
-    histogram = df.groupBy(F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+def value_profile(df: DataFrame, value: str) -> DataFrame:
+    """Count, sum, mean, p50/p75/p95 and maximum of a whole-number column, from one row per distinct value."""
+    histogram = materialize(df.groupBy(F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n")), "value_counts")
     total = F.sum(F.col("_v").cast(_WIDE) * F.col("_n").cast(_WIDE))
-    profile = histogram.agg(F.sum("_n").alias("keys"), total.alias("rows"), *_spread(F.col("_v"), F.col("_n")))
+    profile = histogram.agg(F.sum("_n").alias("keys"), total.alias("rows"), F.max(F.col("_v").cast("decimal(38,0)")).alias("max"))
     mean = F.col("rows").cast("double") / F.col("keys").cast("double")
-    return profile.select("keys", "rows", mean.alias("avg"), "p50", "p75", "p95", "max")
+    return _with_spread(profile, histogram, "_v", "_n").select("keys", "rows", mean.alias("avg"), *SHARES, "max")
 
 
 def rows_per_key(left: DataFrame, right: DataFrame, left_keys: list[str], right_keys: list[str]) -> DataFrame:
@@ -50,11 +47,14 @@ def rows_per_key(left: DataFrame, right: DataFrame, left_keys: list[str], right_
 
 
 def estimate(left: DataFrame, right: DataFrame, left_keys: list[str], right_keys: list[str]) -> DataFrame:
-    """Exact sizes of the left and of the inner join, and the spread of joined rows over the matching keys."""
+    """Exact sizes of the left and of the inner join, and the spread of joined rows over the matching keys.
+
+    From one row per distinct product, of which no task holds all: sums, and quantiles by distributed selection.
+    """
     per_key = rows_per_key(left, right, left_keys, right_keys)
-    histogram = per_key.groupBy(F.col("right_rows").isNotNull().alias("_matched"), "join_rows").agg(
+    histogram = materialize(per_key.groupBy(F.col("right_rows").isNotNull().alias("_matched"), "join_rows").agg(
         F.count(F.lit(1)).alias("_n"), F.sum("left_rows").alias("_left")
-    )
+    ), "join_sizes")
     matched_rows = F.when(F.col("_matched"), F.col("join_rows"))
     copies = F.col("_n").cast(_WIDE)
     none = F.lit(0).cast("decimal(38,0)")
@@ -63,10 +63,12 @@ def estimate(left: DataFrame, right: DataFrame, left_keys: list[str], right_keys
         F.sum(F.when(F.col("_matched"), F.col("_n")).otherwise(F.lit(0))).alias("matching_keys"),
         F.coalesce(F.sum(matched_rows.cast("decimal(38,0)") * copies), none).alias("inner_rows"),
         F.sum(F.col("join_rows") * copies).alias("left_join_rows"),
-        *_spread(matched_rows, F.col("_n")),
+        F.max(matched_rows.cast("decimal(38,0)")).alias("max"),
     )
+    sizes = _with_spread(sizes, histogram.filter("_matched"), "join_rows", "_n")
     mean = F.col("inner_rows").cast("double") / F.nullif(F.col("matching_keys").cast("double"), F.lit(0.0))
-    return sizes.withColumn("avg", mean)
+    first = [c for c in sizes.columns if c not in (*SHARES, "max")]
+    return sizes.select(*first, *SHARES, "max", mean.alias("avg"))
 
 
 def largest_keys(

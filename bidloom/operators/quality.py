@@ -11,6 +11,8 @@ from pyspark.sql.window import Window
 
 from bidloom import fixed_values as fv
 from bidloom.functions.scalars import band
+from bidloom.session import materialize
+from bidloom.sources.files import file_inventory
 
 METRIC_SCHEMA = "section string, name string, value bigint"
 
@@ -58,35 +60,23 @@ def key_overlap(
 def key_overlaps(
     left: DataFrame, checks: Sequence[tuple[str, DataFrame, Sequence[tuple[str, str]]]], section: str = "overlap"
 ) -> DataFrame:
-    """Several overlap checks of one table (name, right table, key pairs) with one scan of it.
+    """Several overlap checks of one table (name, right table, key pairs) in one aggregation.
 
-    Grouping sets reduce the left table to its distinct keys for every check at once. Each key then collects one
-    bit per table that has it.
+    Every key set is read by itself, so a scan carries its columns only and no row is copied for the others; map tasks
+    reduce it to distinct keys. Each key then collects one bit per table that has it.
     """
     key_sets = sorted({tuple(a for a, _ in pairs) for _, _, pairs in checks})
     columns = list(dict.fromkeys(c for keys in key_sets for c in keys))
-    # grouping_id has a bit for every column left out of the set, the first column being the highest.
-    ids = {keys: sum(1 << i for i, c in enumerate(reversed(columns)) if c not in keys) for keys in key_sets}
-
-    def complete(df: DataFrame) -> DataFrame:
-        conditions = [
-            (F.col("_set") == ids[keys]) & reduce(Column.__and__, [F.col(c).isNotNull() for c in keys])
-            for keys in key_sets
-        ]
-        return df.filter(reduce(Column.__or__, conditions))
-
-    distinct = left.groupingSets([list(keys) for keys in key_sets], *columns).agg(
-        F.grouping_id().cast("bigint").alias("_set")
-    )
-    sides = [distinct.select("_set", *columns, F.lit(1).cast("bigint").alias("_seen"))]
-    for bit, (_, right, pairs) in enumerate(checks, start=1):
-        given = {a: F.col(b) for a, b in pairs}
-        keys = [given.get(c, F.lit(None)).cast(left.schema[c].dataType).alias(c) for c in columns]
-        own = F.lit(ids[tuple(a for a, _ in pairs)]).cast("bigint").alias("_set")
-        sides.append(right.select(own, *keys, F.lit(1 << bit).cast("bigint").alias("_seen")))
-    seen = complete(reduce(DataFrame.unionByName, sides)).groupBy("_set", *columns).agg(
-        F.bit_or("_seen").alias("_seen")
-    )
+
+    def side(df: DataFrame, given: dict[str, str], keys: tuple[str, ...], bit: int) -> DataFrame:
+        values = [(F.col(given[c]) if c in given else F.lit(None)).cast(left.schema[c].dataType).alias(c) for c in columns]
+        which, seen = F.lit(key_sets.index(keys)).alias("_set"), F.lit(1 << bit).cast("bigint").alias("_seen")
+        return df.dropna(subset=list(given.values())).select(which, *values, seen)
+
+    sides = [side(left, {c: c for c in keys}, keys, 0) for keys in key_sets]
+    sides += [side(right, dict(pairs), tuple(a for a, _ in pairs), bit)
+              for bit, (_, right, pairs) in enumerate(checks, start=1)]
+    seen = reduce(DataFrame.unionByName, sides).groupBy("_set", *columns).agg(F.bit_or("_seen").alias("_seen"))
     both = [
         F.count_if((F.col("_seen").bitwiseAND(F.lit(1)) != 0) & (F.col("_seen").bitwiseAND(F.lit(1 << bit)) != 0))
         .alias(name) for bit, (name, _, _) in enumerate(checks, start=1)
@@ -94,6 +84,37 @@ def key_overlaps(
     return long_metrics(seen.agg(*both), section)
 
 
+# Entries of an overlap sketch, as a power of two.
+SKETCH_LG = 14
+
+
+def overlap_estimates(
+    left: DataFrame, checks: Sequence[tuple[str, DataFrame, Sequence[tuple[str, str]]]], lg: int = SKETCH_LG
+) -> DataFrame:
+    """name, estimate, error: the checks of `key_overlaps` from theta sketches, one scan of each table, no key shuffled.
+
+    `error` is five standard errors, of the keys of both sides together over the root of the sketch's entries.
+    """
+    key_sets = sorted({tuple(a for a, _ in pairs) for _, _, pairs in checks})
+
+    def sketch(df: DataFrame, keys: Sequence[str]) -> Column:
+        typed = [F.col(k).cast(left.schema[a].dataType) if df is not left else F.col(k) for a, k in zip(of, keys)]
+        complete = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
+        return F.theta_sketch_agg(F.when(complete, F.xxhash64(*typed)), lg)
+
+    own = []
+    for i, of in enumerate(key_sets):
+        own.append(sketch(left, of).alias(f"_own{i}"))
+    row, parts = left.agg(*own), []
+    for name, right, pairs in checks:
+        of = tuple(a for a, _ in pairs)
+        mine, other = F.col(f"_own{key_sets.index(of)}"), right.agg(sketch(right, [b for _, b in pairs])).scalar()
+        both, every = F.theta_intersection(mine, other), F.theta_union(mine, other, lg)
+        parts.append(F.struct(F.lit(name).alias("name"), F.theta_sketch_estimate(both).alias("estimate"),
+                              (F.theta_sketch_estimate(every) * (5.0 / 2 ** (lg / 2))).alias("error")))
+    return row.select(F.inline(F.array(*parts)))
+
+
 def top_per_group(counted: DataFrame, group: str, rows: str, tie: str, n: int) -> DataFrame:
     """The n largest rows of every group; Spark keeps only n per group and task before the shuffle."""
     order = Window.partitionBy(group).orderBy(F.desc(rows), tie)
@@ -198,6 +219,12 @@ def join_key_profile(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     return reduce(DataFrame.unionByName, [one(n, df, key) for n, (df, key) in tables.items()])
 
 
+def join_key_files(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+    """The join-key profile of file-backed tables, with the files and bytes behind each."""
+    stored = [file_inventory(df).select(F.lit(name).alias("table_name"), "files", "bytes") for name, (df, _) in tables.items()]
+    return join_key_profile(tables).join(reduce(DataFrame.unionByName, stored), "table_name")
+
+
 def join_inventory(profile: DataFrame, joins: Sequence[tuple[str, str, str]]) -> DataFrame:
     """Both sides of every named join and the smaller one. `profile` has one row per table, `joins` a few names."""
     spark = profile.sparkSession
@@ -240,6 +267,34 @@ def require_rows(df: DataFrame, name: str) -> DataFrame:
     )
 
 
+class AuditError(ValueError):
+    """A job's output that must not be published."""
+
+
+def audit(df: DataFrame, name: str, keys: Sequence[str]) -> DataFrame:
+    """name, rows, duplicate_keys, null_keys of a table that should have one row per key; null equals null."""
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    unnamed = reduce(Column.__and__, [F.col(k).isNull() for k in keys])
+    return per_key.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"), F.count_if(F.col("_n") > 1).alias("duplicate_keys"),
+        F.count_if(unnamed).alias("null_keys"),
+    ).select(F.lit(name).alias("name"), "rows", "duplicate_keys", "null_keys")
+
+
+def audited(df: DataFrame, name: str, keys: Sequence[str]) -> DataFrame:
+    """`df`, written to the work folder and checked there: raises AuditError if it has no rows or a key twice.
+
+    Publish what this returns: a job that fails its audit then leaves its target as it was.
+    """
+    staged = materialize(df, name)
+    found = audit(staged, name, keys).first()
+    if not found["rows"]:
+        raise AuditError(f"{name} is empty")
+    if found["duplicate_keys"]:
+        raise AuditError(f"{name} has {found['duplicate_keys']} keys more than once")
+    return staged
+
+
 # --- task diagnosis over a table of task metrics ----------------------------
 
 def _duration_histogram(tasks: DataFrame, stage: str, millis: str) -> DataFrame:

@@ -26,8 +26,8 @@ def dataset_counts(raw: Inputs) -> DataFrame:
     })
 
 
-def overlaps(raw: Inputs) -> DataFrame:
-    """Keys of the bids found in each table. The feature check exists on the user alone and on the job's full key."""
+def overlap_checks(raw: Inputs) -> list:
+    """The tables that share keys with the bids. The feature check exists on the user alone and on the job's full key."""
     feedback = raw.impressions_same.select("bid_request_id").unionByName(raw.impressions_late.select("bid_request_id"))
     checks = [
         ("bids_to_impressions_bid_request_id", feedback, ["bid_request_id"]),
@@ -39,7 +39,17 @@ def overlaps(raw: Inputs) -> DataFrame:
         ("bids_to_koa_settings_advertiser_campaign", raw.settings, ["advertiser_id", "campaign_id"]),
         ("bids_to_feature_log_user_context", raw.features, ["user_id_hash", "contextual_id"]),
     ]
-    return quality.key_overlaps(raw.bids, [(name, df, [(k, k) for k in keys]) for name, df, keys in checks])
+    return [(name, df, [(k, k) for k in keys]) for name, df, keys in checks]
+
+
+def overlaps(raw: Inputs) -> DataFrame:
+    """Keys of the bids found in each table."""
+    return quality.key_overlaps(raw.bids, overlap_checks(raw))
+
+
+def overlap_estimates(raw: Inputs) -> DataFrame:
+    """The same from sketches, with their errors."""
+    return quality.overlap_estimates(raw.bids, overlap_checks(raw))
 
 
 def skew_indicators(bids: DataFrame, n: int = 5) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from bidloom import fixed_values as fv
 from bidloom.functions import scalars as s
 from bidloom.operators.dedup import keep_extreme
-from bidloom.operators.quality import distinct_rows, long_metrics
+from bidloom.operators.quality import audited, distinct_rows, long_metrics
 from bidloom.sources.files import HOUR_PARTS
 from bidloom.sources.sinks import write_by_key
 
@@ -89,14 +89,16 @@ def eligible_metrics(raw: DataFrame, converted: DataFrame) -> DataFrame:
 
 
 def run_features(raw: DataFrame, target: str, mode: str = "overwrite") -> DataFrame:
-    """The feature converter as a job: write, then report on what was written."""
-    write_by_key(convert_features(raw), target, ["user_id_hash", "contextual_id"], mode)
+    """The feature converter as a job: stage, audit, publish, then report on what was published."""
+    staged = audited(convert_features(raw), "feature_log", ["feature_event_id"])
+    write_by_key(staged, target, ["user_id_hash", "contextual_id"], mode)
     return feature_metrics(raw, raw.sparkSession.read.parquet(target))
 
 
 def run_eligible(raw: DataFrame, target: str, mode: str = "overwrite") -> DataFrame:
-    """The eligible-user converter as a job."""
-    write_by_key(convert_eligible(raw), target, ["user_id_hash", "frequency_bracket"], mode)
+    """The eligible-user converter as a job, likewise."""
+    staged = audited(convert_eligible(raw), "eligible_user_data", ["bid_request_id", "normalized_user_id"])
+    write_by_key(staged, target, ["user_id_hash", "frequency_bracket"], mode)
     return eligible_metrics(raw, raw.sparkSession.read.parquet(target))
 
 

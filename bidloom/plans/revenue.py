@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +30,19 @@ def daily_product_revenue(orders: DataFrame, items: DataFrame) -> DataFrame:
     return revenue.orderBy(F.asc(day), F.desc(amount), *rest)
 
 
+@contextmanager
+def _database(spark: SparkSession, name: str | None) -> Iterator[None]:
+    """The database, created if need be, as the current one; the former one afterwards."""
+    before = spark.catalog.currentDatabase()
+    if name:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
+        spark.sql(f"USE {name}")
+    try:
+        yield
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+
+
 def script_from_json(
     spark: SparkSession, select: str, variables: dict[str, str], views: tuple[str, ...] = ("orders", "order_items"),
     database: str | None = None,
@@ -35,10 +51,7 @@ def script_from_json(
 
     `variables` must give retail.in and retail.out; ${...} in the text is filled in by Spark.
     """
-    with sql_variables(spark, variables):
-        if database:
-            spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-            spark.sql(f"USE {database}")
+    with sql_variables(spark, variables), _database(spark, database):
         for view in views:
             spark.sql(
                 f"CREATE OR REPLACE TEMPORARY VIEW {view} USING JSON OPTIONS (path='${{retail.in}}/{view}')"

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from bidloom.operators import quality
 from bidloom.plans import contract, enrichment
 from bidloom.registry import roles
-from bidloom.registry.base import register, table
+from bidloom.registry.base import ORACLES, register, table
 from bidloom.registry.roles import (
     ADVERTISER, BIDS, CONTEXTUAL, ELIGIBLE, IMPRESSIONS, JOINED, RAW_BIDS, RAW_FEATURES, RAW_IMPRESSIONS, RAW_MATCHED,
     SETTINGS, SIB,
@@ -62,6 +62,15 @@ def key_overlap(spark, sf_dir):
     return contract.overlaps(roles.raw_inputs(spark, sf_dir))
 
 
+@register("key_overlap_sketch", f"SELECT *, true AS within_error FROM ({ORACLES['key_overlap']})")
+def key_overlap_sketch(spark, sf_dir):
+    """The exact overlaps beside their estimates, which lie within the stated error."""
+    raw = roles.raw_inputs(spark, sf_dir)
+    both = contract.overlaps(raw).join(contract.overlap_estimates(raw), "name")
+    close = F.abs(F.col("estimate") - F.col("value")) <= F.col("error")
+    return both.select("section", "name", "value", close.alias("within_error"))
+
+
 @register("key_overlap_composite", """
 SELECT 'overlap' AS section, 'lines_to_suppliers' AS name, count(*) AS value FROM (
   SELECT l_suppkey, l_linenumber FROM lineitem INTERSECT SELECT s_suppkey, s_nationkey FROM supplier)
@@ -207,12 +216,13 @@ UNION ALL SELECT 'part', 'p_partkey', count(*), count(DISTINCT p_partkey), count
 def _profile(spark, sf_dir):
     keys = {"orders": "o_custkey", "customer": "c_custkey", "events": "user_id", "lineitem": "l_partkey",
             "part": "p_partkey"}
-    return quality.join_key_profile({name: (table(spark, sf_dir, name), key) for name, key in keys.items()})
+    return quality.join_key_files({name: (table(spark, sf_dir, name), key) for name, key in keys.items()})
 
 
-@register("join_key_profile", PROFILE_SQL)
+@register("join_key_profile", f"SELECT *, true AS has_files, true AS has_bytes FROM ({PROFILE_SQL})")
 def join_key_profile(spark, sf_dir):
-    return _profile(spark, sf_dir)
+    profile = _profile(spark, sf_dir).withColumns({"has_files": F.col("files") > 0, "has_bytes": F.col("bytes") > 0})
+    return profile.drop("files", "bytes")
 
 
 @register("join_inventory", f"""

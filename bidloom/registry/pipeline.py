@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bidloom import fixed_values as fv
 from bidloom.functions import scalars as s
 from bidloom.functions.fixed_point import money_sum
-from bidloom.operators import dedup, fanout, intervals, joins, nullable, quality, skew
+from bidloom.operators import dedup, fanout, intervals, nullable, quality, skew
 from bidloom.plans import converters, enrichment, remedies, revenue
 from bidloom.registry import roles
-from bidloom.registry.base import register, table
+from bidloom.registry.base import ORACLES, register, table
 from bidloom.registry.roles import (
     ADVERTISER, BIDS, CONTEXTUAL, ELIGIBLE, FEATURES, IMPRESSIONS, JOINED, METRICS, RAW_BIDS, RAW_IMPRESSIONS,
     SETTINGS, SIB, sql_money,
@@ -506,3 +509,22 @@ SELECT 'enrichment', 'final_output_count', count(*) FROM (
 """)
 def pipeline_metrics(spark, sf_dir):
     return enrichment.run_job(roles.job_inputs(spark, sf_dir), work_folder(spark, "final"))
+
+
+@register("output_audit", f"""
+SELECT 'feature_log' AS name, count(*) AS rows, 0 AS duplicate_keys, 0 AS null_keys FROM (WITH {FEATURES} SELECT * FROM features)
+UNION ALL
+SELECT 'eligible_user_data', count(*), 0, 0 FROM (WITH {ELIGIBLE} SELECT * FROM eligible)
+UNION ALL
+SELECT 'final_output', count(*), 0, 0 FROM ({ORACLES["enrichment_final"]})
+""")
+def output_audit(spark, sf_dir):
+    """What the three jobs check before they publish."""
+    features = converters.convert_features(roles.feature_log(spark, sf_dir))
+    eligible = converters.convert_eligible(roles.matched_users(spark, sf_dir))
+    final = enrichment.final_output(roles.job_inputs(spark, sf_dir))
+    jobs = ((features, "feature_log", ["feature_event_id"]),
+            (eligible, "eligible_user_data", ["bid_request_id", "normalized_user_id"]),
+            (final, "final_output", enrichment.OUTPUT_KEYS))
+    audits = [quality.audit(quality.audited(df, name, keys), name, keys) for df, name, keys in jobs]
+    return reduce(DataFrame.unionByName, audits)

@@ -344,7 +344,7 @@ def revenue_script(spark, sf_dir):
     revenue.script_from_json(spark, f"""
         SELECT day, status, product, {money_sum_sql('subtotal')} AS revenue
         FROM order_items JOIN orders ON id = order_id GROUP BY day, status, product
-    """, {"retail.in": landing, "retail.out": out})
+    """, {"retail.in": landing, "retail.out": out}, database="bidloom_retail")
     return spark.read.schema("day string, status string, product bigint, revenue double").json(out)
 
 

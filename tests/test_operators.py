@@ -4,8 +4,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from bidloom.operators import dedup, fanout, intervals, joins, nullable, quality, salting, skew, sketches
-from bidloom.plans import remedies
+from bidloom.operators import dedup, fanout, intervals, joins, nullable, quality, quantiles, salting, skew, sketches
+from bidloom.plans import converters, remedies
 
 
 def as_set(df):
@@ -227,3 +227,56 @@ def test_latest_within_against_brute_force(spark):
         spark.createDataFrame(left, "i int, u int, at bigint"), spark.createDataFrame(right, "u int, at2 bigint, v int"),
         ["u"], "at", "at2", 2, ["i"])
     assert {r["i"]: (r["at2"], r["v"]) for r in got.collect()} == want
+
+
+@pytest.mark.parametrize("buckets", [2, 16, 1024])
+def test_quantiles_are_those_of_the_written_out_rows(spark, buckets):
+    """Narrow, wide, hot and equal values; nulls and copies of zero are skipped."""
+    rng = random.Random(buckets)
+    for values in ([(7, 1)], [(3, 2), (3, 5)], [(0, 900), (10**15, 3), (10**15 + 1, 2)],
+                   [(rng.randrange(10 ** rng.randrange(1, 12)), rng.randrange(4)) for _ in range(200)] + [(None, 5)]):
+        df = spark.createDataFrame(values, "v bigint, n bigint")
+        want = df.filter("v IS NOT NULL AND n > 0").agg(*[F.percentile(F.col("v").cast("double"), F.lit(p), F.col("n"))
+                                                         for p in (0.0, 0.5, 0.75, 0.95, 1.0)]).first()
+        got = quantiles.exact_quantiles(df, "v", "n", (0.0, 0.5, 0.75, 0.95, 1.0), buckets)
+        assert got == pytest.approx(list(want), rel=1e-12)
+    assert quantiles.exact_quantiles(spark.createDataFrame([], "v bigint, n bigint"), "v", "n", (0.5,)) == [None]
+
+
+def test_an_output_is_audited_before_it_is_published(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a"), (None, "b")], "k bigint, v string")
+    assert quality.audited(rows, "out", ["k"]).count() == 2
+    assert tuple(quality.audit(rows, "out", ["k"]).first()) == ("out", 2, 0, 1)
+    with pytest.raises(quality.AuditError, match="empty"):
+        quality.audited(rows.limit(0), "out", ["k"])
+    with pytest.raises(quality.AuditError, match="1 keys more than once"):
+        quality.audited(rows.unionByName(rows.filter("k IS NULL")), "out", ["k"])
+
+
+def test_a_refused_output_leaves_the_target_alone(spark, tmp_path, tiny):
+    target = str(tmp_path / "features")
+    converters.run_features(tiny["feature_log"], target)
+    before = spark.read.parquet(target).count()
+    with pytest.raises(quality.AuditError):
+        converters.run_features(tiny["feature_log"].limit(0), target)
+    assert spark.read.parquet(target).count() == before > 0
+
+
+def test_a_large_dimension_spreads_hot_keys(spark):
+    left = spark.createDataFrame([(1 if i % 3 else i, i) for i in range(300)] + [(None, -1)], "k bigint, id bigint")
+    dimension = spark.createDataFrame([(i, f"d{i}") for i in range(100)], "k bigint, name string")
+    small = skew.lookup(left, dimension, ["k"], None, ["id"])
+    spread = skew.lookup(left, dimension, ["k"], None, ["id"], limit=0, hot_rows=10)
+    assert "_piece" in spread._jdf.queryExecution().toString() and small.columns == spread.columns
+    assert as_set(small) == as_set(spread)
+
+
+def test_overlap_estimates_hold(spark):
+    left = spark.range(40_000).selectExpr("id AS a", "id % 7 AS b").unionByName(spark.createDataFrame([(None, 1)], "a bigint, b bigint"))
+    right = spark.range(30_000, 60_000).selectExpr("CAST(id AS int) AS x", "id % 7 AS y")
+    checks = [("one", right, [("a", "x")]), ("two", right, [("a", "x"), ("b", "y")])]
+    exact = {r["name"]: r["value"] for r in quality.key_overlaps(left, checks).collect()}
+    assert exact == {"one": 10_000, "two": 10_000}
+    assert "Expand" not in quality.key_overlaps(left, checks)._jdf.queryExecution().toString()
+    for r in quality.overlap_estimates(left, checks).collect():
+        assert abs(r["estimate"] - exact[r["name"]]) <= r["error"] < 3000
