@@ -20,10 +20,11 @@ from pyspark.sql import functions as F
 
 from bidloom.llm.common import bound_to, fresh
 from bidloom.llm.tokens import Words, mixed, words
+from bidloom.operators import skew
 from bidloom.session import materialize
 
 WINDOW = 8
-# The shortest item that is searched, in words; shorter ones match by chance.
+# Items of fewer words match whole lines only: inside a line such words stand by chance.
 SHORTEST = 3
 # Share of an item's words that matching windows must cover.
 COVERAGE = 0.5
@@ -75,6 +76,8 @@ def _windows(found: Words, lengths: Sequence[int], units: np.ndarray) -> Iterato
     folded, values = np.where(name, found.code, code), np.where(name, np.uint64(0), slots)
     plain = np.where(found.number, found.code, np.uint64(0))
     sums = [np.concatenate(([0], np.cumsum(kind))) for kind in (name, slots != 0, values != 0)]
+    line_first = np.append(True, (found.line[1:] != found.line[:-1]) | (found.doc[1:] != found.doc[:-1]))[:len(code)]
+    line_last = np.append(line_first[1:], True)[:len(code)]
     start_of = np.flatnonzero(np.concatenate(([True], found.doc[1:] != found.doc[:-1]))) if len(code) else np.zeros(0, int)
     position = np.arange(len(code)) - np.repeat(start_of, np.diff(np.concatenate((start_of, [len(code)]))))
     for length in lengths:
@@ -85,6 +88,8 @@ def _windows(found: Words, lengths: Sequence[int], units: np.ndarray) -> Iterato
         names, placed, numeric = (total[length:] - total[:n] for total in sums)
         readings = ((code, slots, 2 * placed <= length), (folded, values, (names > 0) & (2 * numeric <= length)),
                     (found.code, plain, 2 * numeric > length))
+        if length < SHORTEST:
+            readings = ((found.code, plain, line_first[:n] & line_last[length - 1:]),)
         for codes, own, fits in readings:
             hashes = np.full(n, length, np.uint64)
             for j in range(length):
@@ -105,7 +110,8 @@ def _scan(keys: Sequence[str], lengths: Sequence[int], allowed: np.ndarray | Non
             for found in words(batch["text"]):
                 for hashes, position, slots, doc, at, length in _windows(found, lengths, units):
                     if allowed is not None:
-                        at = at[allowed[(hashes[at] % np.uint64(FILTER_BITS)).astype(np.int64)]]
+                        bit = (hashes[at] % np.uint64(FILTER_BITS)).astype(np.int64)
+                        at = at[(allowed[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool)]
                     if len(at):
                         out = batch.iloc[doc[at]][list(keys)].reset_index(drop=True)
                         yield out.assign(hash=hashes[at].view(np.int64), at=position[at].astype(np.int32),
@@ -126,10 +132,10 @@ def _bitmap(index: DataFrame) -> np.ndarray:
     value = F.pmod(F.conv(F.hex("hash"), 16, 10).cast("decimal(20,0)"), F.lit(FILTER_BITS)).cast("bigint") + 1
     rows = index.select(value.alias("v")).groupBy(F.bitmap_bucket_number("v").alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("v")).alias("bits")).collect()
-    out = np.zeros(FILTER_BITS, bool)
+    out = np.zeros(FILTER_BITS // 8, np.uint8)
     for row in rows:
-        at = (row["bucket"] - 1) * BITMAP
-        out[at:at + BITMAP] = np.unpackbits(np.frombuffer(row["bits"], np.uint8), bitorder="little")
+        at = (row["bucket"] - 1) * BITMAP // 8
+        out[at:at + BITMAP // 8] = np.frombuffer(row["bits"], np.uint8)
     return out
 
 
@@ -167,8 +173,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, keys: Sequence[str], coverage:
     """One row per pair of a document (its `keys`) and a benchmark item that it contains: keys, item_id, coverage,
     n_slots, verbatim (no slot has another value, in windows left out neither).
 
-    Every window of every text is looked up. Null and empty texts match nothing; items of fewer than 3 words are not
-    searched, items shorter than the window match as a whole. Repeated rows and items give one row for each pair of
+    Every window of every text is looked up. Null and empty texts match nothing; items shorter than the window match
+    as a whole, items of one or two words only as whole lines. Repeated rows and items give one row for each pair of
     different keys; of several texts of one item_id the most covered one counts. Empty tables give no rows.
     """
     names = {k: f"k{i}" for i, k in enumerate(keys)}
@@ -179,7 +185,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, keys: Sequence[str], coverage:
     version = F.concat_ws("-", F.hex(F.xxhash64(benchmark["text"])), F.hex(F.xxhash64(F.lit("text"), benchmark["text"])))
     items = benchmark.select(benchmark["item_id"].cast("string").alias("item"), version.alias("version"), benchmark["text"])
     counts = materialize(items.mapInPandas(_lengths, "item string, version string, n int"), "leak_items")
-    sizes = counts.select(F.least("n", F.lit(window)).alias("n")).filter(F.col("n") >= SHORTEST).distinct()
+    sizes = counts.select(F.least("n", F.lit(window)).alias("n")).distinct()
     lengths = sorted(r["n"] for r in sizes.collect())
     index = items.mapInPandas(_scan(["item", "version"], lengths, None), f"item string, version string, {ROW}")
     # A shorter length is for the items that are as short; the others are searched by whole windows.
@@ -192,8 +198,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame, keys: Sequence[str], coverage:
     allowed = _bitmap(index.select(F.col("h").alias("hash")))
     schema = ", ".join(f"{n} string" for n in names.values()) + f", {ROW}"
     seen = plain.mapInPandas(_scan(list(names.values()), lengths, allowed), schema)
-    side = F.broadcast(index) if index.count() <= BROADCAST_ROWS else index
-    pairs = seen.join(side, (seen["hash"] == side["h"]) & (F.size(seen["slots"]) == F.size(side["item_slots"])), "inner")
+    alike = F.size("slots") == F.size("item_slots")
+    if index.count() <= BROADCAST_ROWS:
+        pairs = seen.join(F.broadcast(index), seen["hash"] == index["h"], "inner").filter(alike)
+    else:
+        # A window that very many documents have is dealt out.
+        seen = materialize(seen, "leak_windows")
+        hot = skew.find(seen, {"window": ["hash"]})["window"]
+        pairs = skew.left_join(seen, index, [("hash", "h")], hot, [*names.values(), "at"]).filter(
+            F.col("h").isNotNull() & alike)
     places = F.sequence(F.col("item_at"), F.col("item_at") + F.size("slots") - 1)
     zipped = F.arrays_zip(places.alias("place"), F.col("item_slots"), F.col("slots"))
     changes = F.filter(zipped, lambda p: p["item_slots"] != 0)

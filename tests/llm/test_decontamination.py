@@ -97,7 +97,7 @@ def test_words_over_pieces(monkeypatch):
     monkeypatch.setattr("bidloom.llm.tokens.PIECE", 97)
     cut = next(words([text]))
     assert (whole.code == cut.code).all() and (whole.number == cut.number).all() and len(whole.code) == 1500
-    assert (whole.initial == cut.initial).all()
+    assert (whole.initial == cut.initial).all() and (whole.line == cut.line).all()
 
 
 def test_long_texts_and_short_items(docs_of, bench):
@@ -105,7 +105,30 @@ def test_long_texts_and_short_items(docs_of, bench):
     fill = " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(200_000))
     docs = docs_of([(1, fill + " " + ITEM + " " + fill[:1000]), (2, "is blue paint dry"), (3, "blue paint"), (4, fill)])
     got = table(docs, bench([(1, ITEM), (2, "Is blue paint dry?"), (3, "blue paint")]))
-    assert [(r[0], r[1]) for r in got] == [(1, 1), (2, 2)]
+    assert [(r[0], r[1]) for r in got] == [(1, 1), (2, 2), (3, 3)]
+
+
+def test_one_and_two_words_match_whole_lines(docs_of, bench):
+    docs = docs_of([(1, "first line\nBlue paint!\nlast"), (2, "the blue paint"), (3, "42"), (4, "x\n 42 \ny"), (5, "42 43"),
+                    (6, "blue\npaint"), (7, "no line of it " * 50 + "\nblue paint\n")])
+    got = table(docs, bench([(1, "blue paint"), (2, "42")]))
+    assert [(r[0], r[1]) for r in got] == [(1, 1), (3, 2), (4, 2), (6, 1), (7, 1)]
+
+
+@pytest.mark.parametrize("left, right", [("\u201c", "\u201d"), ("\u2018", "\u2019"), ("\u00ab\u00a0", "\u00a0\u00bb"),
+                                         ("\u2014", "\u2014"), ("\u2013", "\u2026"), ("\u00a0", "\u00a0"), ("\u3000", "\u3002")])
+def test_typographic_signs_end_words(docs_of, bench, left, right):
+    items = ["What is the capital of the blue river state", "Is blue paint dry", ITEM]
+    docs = docs_of([(i, f"He asked{left}{t}{right}and left") for i, t in enumerate(items)])
+    got = table(docs, bench(list(enumerate(items))))
+    assert [(r[0], r[1]) for r in got] == [(0, 0), (1, 1), (2, 2)]
+
+
+def test_capitals_of_other_scripts(docs_of, bench):
+    item = "the train from \u0391\u03b8\u03ae\u03bd\u03b1 to \u041c\u043e\u0441\u043a\u0432\u0430 takes 40 hours and stops in many towns"
+    other = item.replace("\u0391\u03b8\u03ae\u03bd\u03b1", "\u03a0\u03ac\u03c4\u03c1\u03b1").replace("40", "12")
+    got = table(docs_of([(1, item.upper()), (2, other), (3, item.lower())]), bench([(1, item)]))
+    assert [(r[0], r[1]) for r in got] == [(1, 1), (2, 1), (3, 1)]
 
 
 def test_shuffled_join_is_the_same(docs_of, bench, monkeypatch):
