@@ -8,9 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bidloom.llm.common import as_text, fresh, md5_number
+from bidloom.session import materialize
 
-# Cells of a shard that are numbered on their own: the first two hex digits of the record's MD5.
-CELL_DIGITS = 2
 # Slots of one group of equal records that are unfolded at once.
 UNFOLD = 100_000
 
@@ -48,21 +47,24 @@ def shards(docs: DataFrame, key: str, weights: Sequence[float], added: float | N
 def numbered(rows: DataFrame, shard: str, key: str) -> DataFrame:
     """Adds `slot`: gapless numbers from 0 in each shard, in the order of the key's MD5, then of all columns.
 
-    Equal rows are folded to one with a count first, so a record repeated any number of times is one row to sort.
-    A shard is numbered cell by cell: no task holds a whole shard. Rows stay whole; empty input gives no rows.
+    Equal rows are folded to one with a count first, so a record repeated any number of times is one row to sort. The
+    rows are cut into key ranges of about equal size, written, and numbered range by range: no task holds a whole shard,
+    nor all rows of one key. Rows stay whole; empty input gives no rows.
     """
-    names = [fresh(rows.columns, n) for n in ("_md5", "_cell", "_n", "_first", "_before", "_part")]
-    md5, cell, n, first, before, part = names
+    names = [fresh(rows.columns, n) for n in ("_md5", "_range", "_n", "_first", "_before", "_part")]
+    md5, range_, n, first, before, part = names
     columns = rows.columns
     folded = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias(n)).withColumn(md5, F.md5(as_text(F.col(key))))
-    folded = folded.withColumn(cell, F.substring(md5, 1, CELL_DIGITS))
-    cells = folded.groupBy(shard, cell).agg(F.sum(n).alias(before))
-    earlier = Window.partitionBy(shard).orderBy(cell).rowsBetween(Window.unboundedPreceding, -1)
-    cells = cells.withColumn(before, F.coalesce(F.sum(before).over(earlier), F.lit(0)))
     order = [F.col(c).asc_nulls_first() for c in (md5, *columns)]
-    inside = Window.partitionBy(shard, cell).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    placed = folded.withColumn(first, F.coalesce(F.sum(n).over(inside), F.lit(0)))
-    placed = placed.join(cells, [shard, cell]).withColumn(first, F.col(first) + F.col(before))
+    # Written: the bounds of the ranges come from a sample, which another run of the plan need not repeat.
+    ranged = materialize(folded.repartitionByRange(F.col(shard).asc_nulls_first(), *order).withColumn(
+        range_, F.spark_partition_id()), "shard_ranges")
+    sizes = ranged.groupBy(shard, range_).agg(F.sum(n).alias(before))
+    earlier = Window.partitionBy(shard).orderBy(range_).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn(before, F.coalesce(F.sum(before).over(earlier), F.lit(0)))
+    inside = Window.partitionBy(shard, range_).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    placed = ranged.withColumn(first, F.coalesce(F.sum(n).over(inside), F.lit(0)))
+    placed = placed.join(sizes, [shard, range_]).withColumn(first, F.col(first) + F.col(before))
     # A group of many equal records unfolds in two steps, so that no array grows with the group.
     placed = placed.withColumn(part, F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col(n) - 1) / UNFOLD))))
     first_slot = F.col(first) + F.col(part) * UNFOLD
