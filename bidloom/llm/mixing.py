@@ -6,11 +6,12 @@
 3. A tree splits the quotas among the output shards. Each node deals its tickets (one per block and pass) by a random
    ranking, a fixed number to either side: the sources' counts on a side are a multivariate hypergeometric draw.
 4. A leaf's counts say how many of the source's permuted blocks it gets, the next ones in order, so shards are disjoint
-   and add up to the quotas. Rows are put in order within a shard only.
+   and add up to the quotas. The drawn rows are shuffled within their shard only, by a sort on a random number.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -26,8 +27,10 @@ SHARDS = 8
 # Distinct documents of a block, about.
 BLOCK = 256
 SEED = "mix"
-# Rankings of the tree's nodes are done cell by cell: the first hex digits of a ticket's MD5.
-CELL_DIGITS = 2
+# Tickets of a cell, about: the tree's nodes are ranked cell by cell, by the first hex digits of a ticket's MD5.
+CELL = 1 << 16
+# Numbers that are unfolded in one row.
+UNFOLD = 10_000
 
 
 def word_count(text: Column) -> Column:
@@ -80,6 +83,15 @@ def _fill(items: Column, room: Column) -> Column:
     return F.aggregate(items, start, step)["taken"]
 
 
+def counted_out(df: DataFrame, count: str, out: str) -> DataFrame:
+    """Each row as often as `count` says, numbered from 1 in `out`; the numbers of one row are spread over tasks."""
+    part, one = fresh(df.columns, "_part"), F.lit(1).cast("bigint")
+    parts = df.filter(F.col(count) > 0).withColumn(part, F.explode(F.sequence(one - 1, F.floor((F.col(count) - 1) / UNFOLD))))
+    spread = parts.repartition(F.xxhash64(*parts.columns))
+    first = F.col(part) * UNFOLD
+    return spread.withColumn(out, F.explode(F.sequence(first + 1, F.least(first + UNFOLD, F.col(count))))).drop(part)
+
+
 def split_quotas(quotas: DataFrame, shards: int, seed: str = SEED) -> DataFrame:
     """source, shard, blocks: the quotas of `quotas` (source, quota), split over the shards by the tree.
 
@@ -87,11 +99,13 @@ def split_quotas(quotas: DataFrame, shards: int, seed: str = SEED) -> DataFrame:
     down: those that rank first by an MD5 of seed, level and ticket. Nodes rank cell by cell, so no task holds the
     tickets of a whole node.
     """
-    tickets = quotas.select("source", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("quota"))).alias("ticket"))
+    total = quotas.agg(F.sum("quota")).first()[0] or 0
+    digits = max(2, math.ceil(math.log(max(float(total) / CELL, 1.0), 16)))
+    tickets = counted_out(quotas.select("source", "quota"), "quota", "ticket").drop("quota")
     state = tickets.withColumns({"first": F.lit(0), "width": F.lit(shards)})
     for depth in range((shards - 1).bit_length()):
         key = F.md5(F.concat_ws("#", F.lit(f"{seed}#{depth}"), as_text(F.col("source")), F.col("ticket")))
-        keyed = state.withColumn("key", key).withColumn("cell", F.substring("key", 1, CELL_DIGITS))
+        keyed = state.withColumn("key", key).withColumn("cell", F.substring("key", 1, digits))
         cells = keyed.groupBy("first", "cell").agg(F.count(F.lit(1)).alias("n"))
         node = Window.partitionBy("first")
         cells = cells.withColumns({
@@ -113,7 +127,7 @@ def plan(items: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SH
          shards: int = SHARDS, seed: str = SEED) -> DataFrame:
     """The drawing of each item: its columns and `source_size`, `target`, `draws` (a list of shards per repeat).
 
-    `items`: source, doc_id, size, row_key and `repeats` (how often the row occurs), distinct, best a written table. The result
+    `items`: source, doc_id, size, row_key, row_md5 and `repeats` (how often the row occurs), distinct, best a written table. The result
     has one row per item and outcome, with `times`, the number of its repeats that have this outcome. Every item is
     kept, also those that are drawn nowhere. A source of size 0 has target 0. Reruns agree: nothing depends on the
     order or partitioning of the rows.
@@ -121,7 +135,7 @@ def plan(items: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SH
     per_source = items.groupBy("source").agg(
         F.sum(F.col("size") * F.col("repeats")).alias("source_size"), F.count(F.lit(1)).alias("documents"))
     states = materialize(_pass_state(source_targets(per_source, weights, share, most)), "mix_sources")
-    order = F.md5(F.concat_ws("#", F.lit(seed), as_text(F.col("doc_id")), F.col("size")))
+    order = F.md5(F.concat_ws("#", F.lit(seed), as_text(F.col("doc_id")), F.col("size"), "row_md5"))
     placed = attach(items, states, ["source"], "documents").withColumn("order", order)
     placed = placed.withColumn("block", F.pmod(hex_number(F.col("order")), F.col("blocks")))
     sums = placed.groupBy("source", "block").agg(
@@ -171,9 +185,14 @@ def _joined_sources(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def items_of(docs: DataFrame) -> DataFrame:
-    """source, doc_id, size, row_key, repeats: the distinct rows of `docs`, written once. Null text: size 0."""
-    slim = docs.select("source", "doc_id", word_count(F.col("text")).alias("size"), row_key(docs.columns).alias("row_key"))
-    grouped = slim.groupBy("source", "doc_id", "size", "row_key").agg(F.count(F.lit(1)).alias("repeats"))
+    """source, doc_id, size, row_key, row_md5, repeats: the distinct rows of `docs`, written once. Null text: size 0.
+
+    `row_md5` is that of all columns, which tells apart rows of one doc_id: they are dealt to blocks one by one.
+    """
+    whole = F.md5(F.concat_ws("#", *[as_text(F.col(c)) for c in sorted(docs.columns)]))
+    slim = docs.select("source", "doc_id", word_count(F.col("text")).alias("size"), row_key(docs.columns).alias("row_key"),
+                       whole.alias("row_md5"))
+    grouped = slim.groupBy("source", "doc_id", "size", "row_key", "row_md5").agg(F.count(F.lit(1)).alias("repeats"))
     return materialize(grouped, "mix_items")
 
 
@@ -187,23 +206,40 @@ def mix_table(docs: DataFrame, **options) -> DataFrame:
         F.array_join(F.col("draws").cast("array<string>"), ",").alias("shards"))
 
 
-def mixed(docs: DataFrame, **options) -> DataFrame:
-    """The documents of the mix with all their columns: one row per draw, none for a document drawn nowhere.
+def drawn_rows(docs: DataFrame, shard: str, place: str, seed: str = SEED, **options) -> DataFrame:
+    """The columns of `docs`, `shard` and `place`: one row per draw, none for a document drawn nowhere.
 
-    Rows that repeat are folded before they meet, so a row may repeat any number of times. Extra columns stay.
+    `place` is a random number by which a shard is shuffled. Rows that repeat are folded before they meet, so a row may
+    repeat any number of times.
     """
     names = docs.columns
-    key, drawn, repeats = (fresh(names, n) for n in ("_mix_key", "_mix_drawn", "_mix_repeats"))
-    totals = plan(items_of(docs), **options).groupBy(F.col("row_key").alias(key)).agg(
-        F.sum(F.size("draws") * F.col("times")).alias(drawn), F.sum("times").alias(repeats))
-    totals = materialize(totals, "mix_draws")
-    rows = attach(docs.withColumn(key, row_key(names)), totals, [key], repeats).filter(F.col(drawn) > 0)
-    one = folded(rows, [*names, drawn], key, repeats)
-    return unfolded(one, drawn).select(*names)
-
-
-def arranged(rows: DataFrame, shard: str, seed: str = SEED) -> DataFrame:
-    """Rows put in random order within their shard: shards lie in key ranges, each a local sort."""
-    place = md5_number(F.lit(seed), as_text(F.col("doc_id")), F.col(shard))
-    keyed = rows.withColumn("_place", place)
-    return keyed.repartitionByRange(shard, "_place").sortWithinPartitions(shard, "_place").drop("_place")
+    key, draws, repeats, copies, one = (fresh([*names, shard, place], n) for n in (
+        "_mix_key", "_mix_draws", "_mix_repeats", "_mix_copies", "_mix_copy"))
+    decided = plan(items_of(docs), seed=seed, **options)
+    totals = decided.groupBy(F.col("row_key").alias(key)).agg(F.sum("times").alias(repeats))
+    by_shard = decided.select(F.col("row_key").alias(key), F.explode("draws").alias("shard"), "times").groupBy(
+        key, "shard").agg(F.sum("times").alias("copies"))
+    # At most one entry per shard.
+    listed = by_shard.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("shard", "copies"))).alias(draws))
+    wanted = materialize(totals.join(listed, key), "mix_draws")
+    rows = attach(docs.withColumn(key, row_key(names)), wanted, [key], repeats)
+    each = folded(rows, [*names, key, draws], key, repeats).withColumn(draws, F.explode(draws))
+    each = each.withColumns({shard: F.col(draws)["shard"], copies: F.col(draws)["copies"]}).drop(draws)
+    once = each.filter(F.col(copies) == 1).withColumn(one, F.lit(1).cast("bigint"))
+    often = counted_out(each.filter(F.col(copies) > 1), copies, one)
+    number = md5_number(F.lit(seed), F.col(key), F.col(shard).cast("string"), F.col(one).cast("string"))
+    return once.unionByName(often).withColumn(place, number).select(*names, shard, place)
+
+
+def arranged(rows: DataFrame, shard: str, place: str) -> DataFrame:
+    """Rows shard by shard, each shuffled: shards and parts of them lie in key ranges, each a local sort."""
+    return rows.repartitionByRange(shard, place).sortWithinPartitions(shard, place)
+
+
+def mixed(docs: DataFrame, **options) -> DataFrame:
+    """The documents of the mix with all their columns: one row per draw, shard by shard, each shard shuffled.
+
+    Extra columns stay. An empty table gives no rows.
+    """
+    shard, place = fresh(docs.columns, "_mix_shard"), fresh(docs.columns, "_mix_place")
+    return arranged(drawn_rows(docs, shard, place, **options), shard, place).select(*docs.columns)

@@ -72,7 +72,8 @@ t{depth + 1} AS (
 MIX_SOURCES = f"""
 WITH RECURSIVE items AS (
   SELECT source, doc_id, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size, count(*) AS repeats,
-         row_number() OVER () AS item
+         row_number() OVER () AS item,
+         md5(coalesce(CAST(doc_id AS VARCHAR), 'null') || '#' || coalesce(source, 'null') || '#' || coalesce(text, 'null')) AS row_md5
   FROM documents GROUP BY source, doc_id, text
 ), per_source AS (
   SELECT source, CAST(sum(size * repeats) AS BIGINT) AS source_size, count(*) AS documents FROM items GROUP BY source
@@ -95,8 +96,9 @@ WITH RECURSIVE items AS (
          greatest(CAST(ceil(documents / 256.0) AS BIGINT), 1) AS blocks
   FROM targets
 ), placed AS (
-  SELECT i.*, s.* EXCLUDE (source), md5('mix#' || coalesce(CAST(doc_id AS VARCHAR), 'null') || '#' || size) AS ord,
-         CAST('0x' || substr(md5('mix#' || coalesce(CAST(doc_id AS VARCHAR), 'null') || '#' || size), 1, 13) AS BIGINT) % blocks AS block
+  SELECT i.*, s.* EXCLUDE (source), md5('mix#' || coalesce(CAST(doc_id AS VARCHAR), 'null') || '#' || size || '#' || row_md5) AS ord,
+         CAST('0x' || substr(md5('mix#' || coalesce(CAST(doc_id AS VARCHAR), 'null') || '#' || size || '#' || row_md5), 1, 13) AS BIGINT)
+         % blocks AS block
   FROM items i JOIN states s ON i.source IS NOT DISTINCT FROM s.source
 ), sums AS (
   SELECT source, block, any_value(part) AS part, sum(size * repeats) AS words,

@@ -91,3 +91,20 @@ def test_hot_rows_fold(docs_of, monkeypatch):
     docs = docs_of([(1, "one two three", "en", "a")] * 1200 + [(i, "four five", "en", "b") for i in range(2, 400)])
     assert mixing.mixed(docs).count() == mixing.mix_table(docs).agg(
         F.sum(F.when(F.col("size") > 0, F.col("taken") / F.col("size")))).first()[0]
+
+
+def test_shards_are_shuffled_one_by_one(docs_of):
+    docs = docs_of([(i, "word " * (1 + i % 7), "en", f"s{i % 3}") for i in range(600)] + [(1, "a b", "en", "s1")] * 50)
+    rows = mixing.arranged(mixing.drawn_rows(docs, "at", "place"), "at", "place")
+    got = rows.select("at", "place", "doc_id").collect()
+    assert [(r["at"], r["place"]) for r in got] == sorted((r["at"], r["place"]) for r in got)
+    assert [r["doc_id"] for r in got] != sorted(r["doc_id"] for r in got)
+    wanted = mixing.mix_table(docs).selectExpr("explode(split(shards, ',')) AS at").filter("at <> ''")
+    assert len(got) == wanted.count() and {r["at"] for r in got} == {int(r["at"]) for r in wanted.collect()}
+
+
+def test_many_rows_of_a_null_id(spark):
+    """A million different rows of one size without id: dealt to blocks one by one."""
+    docs = spark.range(1_000_000).selectExpr("CAST(null AS bigint) AS doc_id", "'s' AS source", "concat('w', id) AS text")
+    r = mixing.mix_table(docs).selectExpr("sum(taken)", "count(*)", "max(taken)").first()
+    assert tuple(r) == (1_500_000, 1_000_000, 2)
