@@ -2,7 +2,6 @@ import random
 from collections import Counter
 
 import numpy as np
-import pytest
 
 from bidloom.llm import jaccard
 
@@ -56,63 +55,58 @@ def near_copies(seed, groups=12, copies=14, edits=4):
     return rows
 
 
-@pytest.mark.parametrize("bucket", [128, 3])
-def test_against_all_pairs(docs_of, bucket):
-    """Buckets of at most three members divide nearly all of them."""
-    rows = near_copies(bucket) if bucket > 3 else near_copies(bucket, groups=5, copies=5, edits=3)
-    got = run(docs_of(rows), bucket=bucket)
-    assert got == plain_table(rows)
-    assert 5 < len({c for _, _, c in got}) < len(rows)
-
-
-def test_chain_of_links_and_the_threshold(docs_of):
+def chain(first, seed=4):
     """Each text differs from the next by a few words, so the chain is one component though its ends share little."""
-    rng = random.Random(4)
+    rng = random.Random(seed)
     words = [f"w{rng.randrange(10**6)}" for _ in range(120)]
+    return [(first - i, " ".join(words[3 * i % 60: 3 * i % 60 + 60])) for i in range(20)]
+
+
+def many_copies(first, count=300):
+    """A third of the rows are one text, another third differ from it in one word."""
+    rng = random.Random(2)
+    base = [f"w{rng.randrange(1000)}" for _ in range(100)]
     rows = []
-    for i in range(40):
-        rows.append((100 - i, " ".join(words[3 * i % 60: 3 * i % 60 + 60])))
+    for i in range(count):
+        words = list(base) if i % 3 < 2 else [f"v{rng.randrange(10**6)}" for _ in range(20)]
+        if i % 3 == 1:
+            words[rng.randrange(100)] = f"x{i}"
+        rows.append((first + i, " ".join(words)))
+    return rows
+
+
+def test_against_all_pairs(docs_of):
+    rows = near_copies(128) + chain(2000) + many_copies(3000)
     # 17 of 20 shingles in common is a link, 16 of 19 is none.
-    rows += [(200, "a b c d e f g h i j k l m n o p q r s t"), (201, "A B C D E F G H I J K L M N O P Q R S T u v w"),
-             (300, "1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 16 17 18 19"), (301, "1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 16 17 18 19 20 21 22")]
+    rows += [(5200, "a b c d e f g h i j k l m n o p q r s t"), (5201, "A B C D E F G H I J K L M N O P Q R S T u v w"),
+             (5300, "1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 16 17 18 19"),
+             (5301, "1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 16 17 18 19 20 21 22")]
     got = run(docs_of(rows))
     assert got == plain_table(rows)
-    assert (201, 20, 200) in got and (301, 19, 301) in got
+    assert 12 < len({c for _, _, c in got}) < len(rows)
+    assert (5201, 20, 5200) in got and (5301, 19, 5301) in got
+    assert sum(n for (_, _, c), n in got.items() if c == 3000) == 200
 
 
-def test_given_documents(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
-    assert run(docs) == plain_table([tuple(r) for r in docs.collect()])
+def test_divided_buckets(docs_of, monkeypatch):
+    """Buckets of at most two members outside the largest component, and one round: nearly all are divided."""
+    monkeypatch.setattr(jaccard, "ROUNDS", 1)
+    rows = near_copies(3, groups=3, copies=6, edits=3)
+    assert run(docs_of(rows), bucket=2) == plain_table(rows)
 
 
 def test_odd_rows(odd_docs):
     rows = [(r.doc_id, r.text) for r in odd_docs.collect()]
-    for partitions in (1, 4):
-        assert run(odd_docs.repartition(partitions)) == plain_table(rows)
+    assert run(odd_docs.repartition(4)) == plain_table(rows)
 
 
 def test_empty_table(docs_of):
     assert jaccard.component_table(docs_of([])).collect() == []
 
 
-def test_many_copies(docs_of):
-    """A third of the rows are one text, another third differ from it in one word."""
-    rng = random.Random(2)
-    base = [f"w{rng.randrange(1000)}" for _ in range(100)]
-    rows = []
-    for i in range(1500):
-        words = list(base) if i % 3 < 2 else [f"v{rng.randrange(10**6)}" for _ in range(20)]
-        if i % 3 == 1:
-            words[rng.randrange(100)] = f"x{i}"
-        rows.append((i, " ".join(words)))
-    got = run(docs_of(rows))
-    assert sum(n for (_, _, c), n in got.items() if c == 0) == 1000
-    assert sum(n for (d, _, c), n in got.items() if d == c) == 501
-
-
 def test_sets_in_pieces(monkeypatch):
     text = " ".join(f"word{i % 77}" for i in range(3000))
-    whole = jaccard.ngram_set(text, 4, jaccard._WordHashes())
+    whole, sizes = jaccard.ngram_sets([text, None, "a b", text], 4, jaccard._WordHashes())
     monkeypatch.setattr(jaccard, "PIECE", 50)
-    assert np.array_equal(whole, jaccard.ngram_set(text, 4, jaccard._WordHashes()))
-    assert len(whole) == len(plain_set(text))
+    cut, _ = jaccard.ngram_sets([text, None, "a b", text], 4, jaccard._WordHashes())
+    assert np.array_equal(whole, cut) and sizes.tolist() == [len(plain_set(text)), 0, 1, len(plain_set(text))]
