@@ -29,11 +29,11 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
 
 def _shared(spark: SparkSession, path: str) -> bool:
     """Whether executors reach the path that the driver sees: not a local disk, unless all run in one process."""
-    master = spark.conf.get("spark.master", "")
+    master = spark.conf.get("spark.master", "") or ""
     if master == "local" or master.startswith("local["):
         return True
     scheme, found, _ = path.partition(":")
-    default = spark.conf.get("spark.hadoop.fs.defaultFS", "file:///")
+    default = spark.conf.get("spark.hadoop.fs.defaultFS", None) or "file:///"
     return (scheme if found else default.partition(":")[0]) != "file"
 
 

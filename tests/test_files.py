@@ -137,3 +137,17 @@ def test_work_folder_falls_back_to_the_warehouse():
             get = staticmethod(lambda name, *_: {"spark.sql.warehouse.dir": "hdfs://store/warehouse"}.get(name))
 
     assert session.work_folder(Unset, "x").startswith("hdfs://store/warehouse/_work/x-")
+
+
+@pytest.mark.parametrize("warehouse, master, shared", [
+    ("file:/tmp/warehouse", "spark://host:7077", False), ("/data/warehouse", "yarn", False), ("file:/tmp/w", "local[4]", True)])
+def test_a_folder_on_a_local_disk_is_refused_on_a_cluster(warehouse, master, shared):
+    class Session:
+        class conf:
+            get = staticmethod(lambda name, *_: {"spark.sql.warehouse.dir": warehouse, "spark.master": master}.get(name))
+
+    if shared:
+        assert session.work_folder(Session, "x").startswith(warehouse)
+    else:
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            session.work_folder(Session, "x")
