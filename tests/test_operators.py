@@ -280,3 +280,34 @@ def test_overlap_estimates_hold(spark):
     assert "Expand" not in quality.key_overlaps(left, checks)._jdf.queryExecution().toString()
     for r in quality.overlap_estimates(left, checks).collect():
         assert abs(r["estimate"] - exact[r["name"]]) <= r["error"] < 3000
+
+
+def test_joins_on_one_key_shuffle_the_left_rows_once_and_without_the_computed_key(spark):
+    left = spark.range(0, 6000, 1, 4).select(
+        F.expr("CASE WHEN id % 3 = 0 THEN 'u7' WHEN id % 10 = 1 THEN NULL ELSE concat('u', id % 90) END").alias("u"), "id")
+    users = spark.range(80).select(F.sha2(F.concat(F.lit("u"), "id"), 256).alias("h"), (F.col("id") * 3).alias("v"))
+    sides = [(users, [("hash", "h")]), (users.toDF("h2", "w"), [("hash", "h2")])]
+    hashed = left.withColumn("hash", F.sha2("u", 256))
+    wanted = hashed.join(users, hashed["hash"] == users["h"], "left").selectExpr("u", "id", "v", "v AS w")
+    computed = {"hash": F.sha2("u", 256)}
+    for hot in (skew.HotKeys({}), skew.find(hashed, {"k": ["hash"]}, hot_rows=500)["k"]):
+        several = skew.left_joins(left, sides, hot, ["id"], computed)
+        one = skew.left_join(left, users, [("hash", "h")], hot, ["id"], computed=computed)
+        assert as_set(several.select("u", "id", "v", "w")) == as_set(wanted)
+        assert as_set(one.select("u", "id", "v")) == as_set(wanted.drop("w"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = skew.left_joins(left, sides, skew.HotKeys({}), ["id"], computed)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("REPARTITION_BY_COL") == 1 and plan.count("Exchange hashpartitioning") == 3
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    with pytest.raises(ValueError, match="same left keys"):
+        skew.left_joins(left, [sides[0], (users, [("id", "v")])], skew.HotKeys({}), ["id"], computed)
+
+
+def test_needed_columns_leave_out_only_later_tie_breakers(spark):
+    df = spark.createDataFrame([(1, 5, "a", 9, "z"), (1, 5, "b", 1, "x"), (1, 5, "b", 1, "y"), (2, None, "c", 2, "w")],
+                               "k int, o int, v string, n int, last string")
+    whole, part = dedup.keep_extreme(df, ["k"], ["o"]), dedup.keep_extreme(df, ["k"], ["o"], needed=["k", "v", "n"])
+    assert as_set(part) == as_set(whole.select("k", "v", "n"))
+    assert "last" not in part._jdf.queryExecution().optimizedPlan().toString().partition("LogicalRDD")[0]
