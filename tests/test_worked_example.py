@@ -1,6 +1,7 @@
 """Four bids through the whole job."""
 
 import datetime as dt
+from dataclasses import replace
 
 import pytest
 
@@ -93,3 +94,37 @@ def test_null_bracket_joins_neither_branch(job):
     rows = enrichment.enrich(replace(job, bids=bids))
     row = enrichment.conservation(rows).first()
     assert (row["joined"], row["high"], row["low"], row["unclassified"], row["missing"]) == (6, 2, 2, 2, 0)
+
+
+@pytest.mark.parametrize("hot_rows", [1, 1_000_000])
+def test_bids_with_several_eligible_users_keep_their_own(job, spark, hot_rows):
+    """br_1 has two eligible users, br_2 one that is not its own, br_3 its own one; a row without a bid matches nothing."""
+    matched = spark.createDataFrame(
+        [("br_1", "userA", "s1", True, 80, "h", *PARTS), ("br_1", "userB", "s2", False, 10, "h", *PARTS),
+         ("br_2", "userC", "s3", True, 50, "h", *PARTS), ("br_3", "userB", "s4", True, 30, "h", *PARTS),
+         (None, "userC", "s5", True, 30, "h", *PARTS)], converters_ddl())
+    rows = enrichment.enrich(replace(job, eligible=converters.convert_eligible(matched)), hot_rows=hot_rows)
+    found = {r[0]: r[1:] for r in rows.select("bid_request_id", "segment_id", "eligible_user_flag", "impression_id").collect()}
+    assert found == {"br_1": ("s1", 1, "i1"), "br_2": (None, None, None), "br_3": ("s4", 1, "i3"), "br_4": (None, None, None)}
+
+
+def test_no_shuffle_of_the_bids_carries_the_users_hash(job):
+    plan = enrichment.enrich(job)._jdf.queryExecution().optimizedPlan()
+    shuffled = [n for n in str(plan).splitlines() if "RepartitionByExpression" in n]
+    assert len(shuffled) == 2
+    walk, bids = [plan], []
+    while walk:
+        node = walk.pop()
+        if node.nodeName() == "RepartitionByExpression":
+            bids.append([c.name() for c in _listed(node.output())])
+        walk += _listed(node.children())
+    assert len(bids) == 2 and not any("user_id_hash" in names for names in bids)
+
+
+def _listed(seq):
+    return [seq.apply(i) for i in range(seq.size())]
+
+
+def converters_ddl():
+    return ("bid_request_id string, user_id string, segment_id string, is_eligible boolean, eligibility_score int, "
+            f"user_id_hash string, {PART_DDL}")
