@@ -110,3 +110,55 @@ def test_sets_in_pieces(monkeypatch):
     monkeypatch.setattr(jaccard, "PIECE", 50)
     cut, _ = jaccard.ngram_sets([text, None, "a b", text], 4, jaccard._WordHashes())
     assert np.array_equal(whole, cut) and sizes.tolist() == [len(plain_set(text)), 0, 1, len(plain_set(text))]
+
+
+def near_sets(seed, percent):
+    """Sorted sets of random numbers around the limit, most of them near some others."""
+    rng = np.random.default_rng(seed)
+    out = []
+    for size in (1, 2, 5, 6, 7, 8, 9, 13, 20, 40, 100, 300) * 3:
+        base = rng.integers(0, 2**64, size, dtype=np.uint64)
+        for _ in range(10):
+            gone = rng.choice(size, rng.integers(0, size * (100 - percent) // 100 + 1), replace=False)
+            more = rng.integers(0, 2**64, int(rng.integers(0, size * (100 - percent) // 100 + 1)), dtype=np.uint64)
+            out.append(np.unique(np.concatenate([np.delete(base, gone), more])))
+    return [s for s in out if len(s)]
+
+
+def test_linked_sets_share_a_segment():
+    for percent, way in ((85, 1), (85, 2), (60, 1), (95, 1)):
+        sets = near_sets(percent + way, percent)
+        hashes, sizes = np.concatenate(sets), np.array([len(s) for s in sets])
+        keys, counts = jaccard.segment_keys(hashes, sizes, percent, way)
+        filed = [set(k.tolist()) for k in np.split(keys, np.cumsum(counts)[:-1])]
+        sketches = jaccard._sketches(hashes, sizes).view(np.uint64)
+        links = 0
+        for i, x in enumerate(sets):
+            for j in range(i):
+                both = len(np.intersect1d(x, sets[j], assume_unique=True))
+                union = len(x) + len(sets[j]) - both
+                if both < union and 100 * both >= percent * union:
+                    links += 1
+                    assert filed[i] & filed[j]
+                    assert np.bitwise_count(sketches[i] ^ sketches[j]).sum() <= union - both
+        assert links > 20
+
+
+def test_a_common_line_makes_no_buckets(docs_of):
+    """Texts that have only a line in common used to meet in one bucket for each n-gram of a prefix."""
+    rng = random.Random(5)
+    line = " ".join(f"c{i}" for i in range(12))
+    rows = [(i, " ".join(f"w{rng.randrange(10**9)}" for _ in range(100)) + "\n" + line) for i in range(400)]
+    rows += [(1000 + i, rows[i][1] + " end") for i in range(5)]
+    docs = docs_of(rows).select("doc_id", "text")
+    filed = jaccard.filed_sets(jaccard.filed_documents(docs.selectExpr("*", "doc_id AS row"), 4, 85))
+    assert filed.select("cid").distinct().count() <= 20
+    assert run(docs_of(rows)) == plain_table(rows)
+
+
+def test_components_in_one_task_and_in_rounds(spark, monkeypatch):
+    rng = random.Random(6)
+    edges = spark.createDataFrame([(rng.randrange(300), rng.randrange(300)) for _ in range(150)], "a bigint, b bigint")
+    small = set(map(tuple, jaccard._components(edges.filter("a <> b")).collect()))
+    monkeypatch.setattr(jaccard, "FEW", 0)
+    assert small == set(map(tuple, jaccard._components(edges.filter("a <> b")).collect())) and len(small) > 50
