@@ -21,8 +21,10 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
@@ -45,12 +47,14 @@ ROUNDS, DEEPEST = 2, 2
 RANGE = 140
 # Bits of a sketch.
 SKETCH = 512
-# The filter of sets to be compared: SEGMENTS of SEGMENT_BITS bits, PROBES bits for each; 16 MiB at every size.
+# The filters of documents and sets to be compared: SEGMENTS of SEGMENT_BITS bits, PROBES bits for each; 16 MiB at every size.
 SEGMENTS, SEGMENT_BITS, PROBES = 256, 1 << 19, 4
 # Pairs of one document that are verified in one task.
 VERIFIED = 1024
 # Links that are joined to components in one task; more of them are joined in rounds of the whole cluster.
 FEW = 1 << 16
+# Sets that are picked by their ids; more of them are picked by a filter of fixed size.
+SENT = 1 << 16
 # Sets that a task remembers as met.
 MET = 1 << 18
 # Bytes of a text that are split at once, words that are remembered, and words that are hashed at once.
@@ -350,26 +354,54 @@ def _rooted(filed: DataFrame, roots: DataFrame | None) -> DataFrame:
         "root", F.coalesce("_root", "cid")).drop("_node", "_root")
 
 
+@contextmanager
+def some_sets(sets: DataFrame, ids: DataFrame) -> Iterator[DataFrame]:
+    """`sets` without those whose cid is not in the column `ids`, or nearly all of them, so that these need not be shuffled.
+
+    Holds until the block ends; write what is made of it there.
+    """
+    ids = ids.distinct()
+    if ids.count() <= SENT:
+        yield sets.join(F.broadcast(ids), "cid", "left_semi")
+        return
+    bits = sets.sparkSession.sparkContext.broadcast(hash_filter(ids))
+
+    @F.pandas_udf("boolean")
+    def held(cid: pd.Series) -> pd.Series:
+        return pd.Series(_held(bits.value, cid.to_numpy().view(np.uint64)))
+
+    try:
+        yield sets.filter(held("cid"))
+    finally:
+        bits.destroy()
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """a, b of the pairs whose sets have enough in common; the pairs of a document with many are dealt out."""
-    def fetch(pairs: DataFrame, side: str) -> DataFrame:
-        other = "b" if side == "a" else "a"
-        counts = pairs.groupBy(side).agg(F.ceil(F.count(F.lit(1)) / VERIFIED).cast("int").alias("pieces"))
-        held = counts.join(sets, counts[side] == sets["cid"]).select(
-            F.col(side).alias("_id"), F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("_piece"),
-            F.col("pieces").alias("_pieces"), F.col("n").alias(f"n_{side}"), F.col("tokens").alias(f"tokens_{side}"))
-        numbers = counts.select(F.col(side).alias("_id"), F.col("pieces").alias("_pieces")).filter("_pieces > 1")
-        # Few documents have more than one piece: at most one for each VERIFIED pairs.
-        dealt = pairs.join(numbers, pairs[side] == numbers["_id"], "left").withColumn(
-            "_at", F.pmod(F.xxhash64(other), F.coalesce("_pieces", F.lit(1))).cast("int")).drop("_id", "_pieces")
-        joined = dealt.join(held, (dealt[side] == held["_id"]) & (dealt["_at"] == held["_piece"]))
-        return joined.drop("_id", "_piece", "_pieces", "_at")
-
-    both = fetch(fetch(pairs, "a"), "b").withColumn("_shared", F.size(F.array_intersect("tokens_a", "tokens_b")))
+    """a, b of the pairs whose sets have enough in common; the pairs of a document with many are dealt out.
+
+    N-grams are shuffled twice: those of each set, and those of one set of each pair.
+    """
+    # Few documents have more than one piece: at most two for each VERIFIED pairs. Spark sees how few once they are written.
+    numbers = materialize(_ends(pairs).groupBy("cid").agg(
+        F.ceil(F.count(F.lit(1)) / VERIFIED).cast("int").alias("_pieces")).filter("_pieces > 1"), "jaccard_pieces")
+    pieces = F.coalesce("_pieces", F.lit(1))
+    held = sets.join(numbers, "cid", "left").select(
+        "cid", F.explode(F.sequence(F.lit(0), pieces - 1)).alias("_piece"), "n", "tokens")
+    both = pairs
+    for side, other in (("a", "b"), ("b", "a")):
+        both = both.join(numbers.withColumnRenamed("cid", side), side, "left").withColumn(
+            f"_at_{side}", F.pmod(F.xxhash64(other), pieces).cast("int")).drop("_pieces")
+    for side in ("a", "b"):
+        both = both.join(held.toDF(side, f"_at_{side}", f"n_{side}", f"tokens_{side}"), [side, f"_at_{side}"])
+    both = both.withColumn("_shared", F.size(F.array_intersect("tokens_a", "tokens_b")))
     enough = F.col("_shared") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("_shared")) * percent
     return both.filter(enough).select("a", "b")
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("cid"))
+
+
 def linked_roots(filed: DataFrame, sets: DataFrame, percent: int = PERCENT, bucket: int = BUCKET) -> DataFrame:
     """node, root: every linked set with the smallest one of its component.
 
@@ -387,7 +419,8 @@ def linked_roots(filed: DataFrame, sets: DataFrame, percent: int = PERCENT, buck
         if not pairs.head(1):
             return False
         tested = tested.unionByName(pairs)
-        found = materialize(verified(pairs, sets, percent), "jaccard_links")
+        with some_sets(sets, _ends(pairs)) as own:
+            found = materialize(verified(pairs, own, percent), "jaccard_links")
         if not found.head(1):
             return False
         known = links if roots is None else roots.select(F.col("root").alias("a"), F.col("node").alias("b"))
@@ -437,7 +470,9 @@ def linked_roots(filed: DataFrame, sets: DataFrame, percent: int = PERCENT, buck
             check(_in_blocks(rest.join(slim, "cid"), bucket, percent))
             break
         depth += 1
-        filed = _filed_again(sets.join(rest.select("cid").distinct(), "cid", "left_semi"), percent, depth)
+        again = rest.select("cid").distinct()
+        with some_sets(sets, again) as own:
+            filed = materialize(_filed_again(own.join(again, "cid", "left_semi"), percent, depth), "jaccard_filed_again")
     return links.toDF("node", "root") if roots is None else roots
 
 

@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from bidloom.llm import jaccard
 
@@ -162,3 +163,46 @@ def test_components_in_one_task_and_in_rounds(spark, monkeypatch):
     small = set(map(tuple, jaccard._components(edges.filter("a <> b")).collect()))
     monkeypatch.setattr(jaccard, "FEW", 0)
     assert small == set(map(tuple, jaccard._components(edges.filter("a <> b")).collect())) and len(small) > 50
+
+
+@pytest.mark.parametrize("sent", [1 << 16, 0])
+def test_few_sets_are_shuffled(spark, monkeypatch, sent):
+    """Each comparison used to shuffle the n-grams of all sets, and those of a pair's sets up to five times."""
+    monkeypatch.setattr(jaccard, "SENT", sent)
+    rng = random.Random(7)
+    rows = [(rng.randrange(-2**63, 2**63), [rng.randrange(2**63) for _ in range(20)]) for _ in range(3000)]
+    rows += [(i, rows[0][1][:19] + [i]) for i in range(40)]
+    sets = spark.createDataFrame([(i, len(t), t) for i, t in rows], "cid bigint, n bigint, tokens array<bigint>")
+    pairs = spark.createDataFrame([(min(i, rows[0][0]), max(i, rows[0][0])) for i in range(40)] + [
+        (min(i, rows[1][0]), max(i, rows[1][0])) for i in range(40)], "a bigint, b bigint")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with jaccard.some_sets(sets, jaccard._ends(pairs)) as own:
+            kept = [r.cid for r in own.select("cid").collect()]
+            assert {*range(40), rows[0][0], rows[1][0]} <= set(kept) and len(kept) < 100
+            found = set(map(tuple, jaccard.verified(pairs, own, 85).collect()))
+        assert found == {(min(i, rows[0][0]), max(i, rows[0][0])) for i in range(40)}
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        plan = jaccard.verified(pairs, sets, 85)._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+        moved = [p for p in plan.split("\n\n") if "Exchange\n" in p and "tokens" in p and "Reused" not in p]
+        assert len(moved) <= 3, plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_sets_picked_by_a_filter(docs_of, monkeypatch):
+    """The same components when there are too many ids to be sent, also in buckets that are filed again."""
+    monkeypatch.setattr(jaccard, "SENT", 0)
+    monkeypatch.setattr(jaccard, "ROUNDS", 1)
+    rows = near_copies(9, groups=3, copies=6, edits=3)
+    assert run(docs_of(rows), bucket=2) == plain_table(rows)
+
+
+def test_pieces_of_a_document_with_many_pairs(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "VERIFIED", 4)
+    sets = spark.createDataFrame([(i, 7, [*range(6), 100 + i % 9]) for i in range(30)], "cid bigint, n bigint, tokens array<bigint>")
+    pairs = [(i, j) for j in range(30) for i in range(j) if i < 2 or j == 29]
+    got = [tuple(r) for r in jaccard.verified(spark.createDataFrame(pairs, "a bigint, b bigint"), sets, 85).collect()]
+    assert sorted(got) == sorted((i, j) for i, j in pairs if i % 9 == j % 9)
