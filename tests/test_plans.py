@@ -61,6 +61,19 @@ def test_distinct_bids_reuse_the_partitioning_of_the_last_join(spark):
     assert len(grouped) == 1 and "bid_request_id" not in grouped[0]
 
 
+def test_bids_are_shuffled_once_by_the_user_and_before_they_are_summed(spark):
+    """Without any broadcast of its own choice: one shuffle for features and user attributes, one of bids by group."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = physical(enrichment.final_output(roles.job_inputs(spark, SF_DIR))).splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    by_user = [line for line in plan if "Exchange hashpartitioning" in line and "normalized_user_id" in line]
+    assert len(by_user) == 1 and not [line for line in plan if "Exchange hashpartitioning(user_id_hash" in line and "REPARTITION" in line]
+    grouped = next(i for i, line in enumerate(plan) if "Exchange hashpartitioning(advertiser_id" in line)
+    assert "partial_sum" in "".join(plan[:grouped]) and "partial_sum" not in "".join(plan[grouped:])
+
+
 def test_groups_are_limited_before_the_shuffle(spark):
     assert "WindowGroupLimit" in physical(QUERIES["skew_indicators"](spark, SF_DIR))
 

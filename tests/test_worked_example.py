@@ -4,6 +4,7 @@ import datetime as dt
 from dataclasses import replace
 
 import pytest
+from pyspark.sql import functions as F
 
 from bidloom.plans import converters, enrichment
 from bidloom.plans.enrichment import Inputs
@@ -121,6 +122,28 @@ def test_no_shuffle_of_the_bids_carries_the_users_hash(job):
     assert len(bids) == 2 and not any("user_id_hash" in names for names in bids)
 
 
+def _same(one, other):
+    return one.exceptAll(other).isEmpty() and other.exceptAll(one).isEmpty()
+
+
+def test_groups_and_contexts_dealt_to_parts_give_the_same_output(job, spark):
+    """Every group and user counts as too large for one task; a setting and a context that come twice repeat their bids."""
+    twice = replace(job, settings=job.settings.unionByName(job.settings).unionByName(
+        spark.createDataFrame([(1, 100, "k3", 1.1, "strict")], job.settings.schema)),
+        contextual=job.contextual.unionByName(job.contextual.limit(1)),
+        bids=job.bids.unionByName(job.bids.filter("bid_request_id = 'br_1'")))
+    for inputs in (job, twice):
+        written_out = enrichment.final_output(inputs, written_out=True, salt=F.lit(1))
+        assert _same(enrichment.final_output(inputs, salt=F.lit(1)), written_out)
+        rows = enrichment.enrich(inputs, hot_rows=1, for_groups=True, wide_rows=1)
+        assert enrichment.PIECE in rows.columns and "_feature_part" in rows._jdf.queryExecution().toString()
+        assert _same(enrichment._aggregate(enrichment._with_branch(rows, F.lit(1)), dealt=True), written_out)
+        assert _same(enrichment.low_frequency(enrichment.enrich(inputs, hot_rows=1, wide_rows=1)),
+                     written_out.filter("salt IS NULL"))
+        merged = enrichment.merged_output(enrichment.enrich(inputs, hot_rows=1), F.lit(1))
+        assert _same(merged, written_out.filter("salt = 1").select(*merged.columns))
+
+
 def _listed(seq):
     return [seq.apply(i) for i in range(seq.size())]
 
