@@ -2,10 +2,12 @@
 
 import datetime as dt
 from dataclasses import replace
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from bidloom.operators import quality
 from bidloom.plans import converters, enrichment
 from bidloom.plans.enrichment import Inputs
 
@@ -144,6 +146,31 @@ def test_groups_and_contexts_dealt_to_parts_give_the_same_output(job, spark):
         assert _same(merged, written_out.filter("salt = 1").select(*merged.columns))
 
 
+def test_the_job_writes_groups_and_no_bids(job, spark, tmp_path):
+    """The metrics of bids in neither branch come from groups that are written, and not published."""
+    job = replace(job, bids=job.bids.withColumns({
+        "frequency_bracket": F.expr("nullif(frequency_bracket, 'low')"),
+        "bid_price": F.expr("if(frequency_bracket = 'low', double('NaN'), bid_price)")}))
+    kept = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(kept.iterdir())
+    found = {r["name"]: r["value"] for r in enrichment.run_job(job, str(tmp_path / "final")).collect()}
+    written = set(kept.iterdir()) - before
+    assert [p.name.partition("-")[0] for p in written] == ["groups"]
+    assert all(".zstd." in f.name for p in written for f in p.glob("*.parquet"))
+    counted = {r["name"]: r["value"] for r in enrichment.joined_counts(enrichment.enrich(job)).collect()}
+    assert counted == {name: found[name] for name in counted} and counted["joined_row_count"] == 6
+    assert found["final_output_count"] == spark.read.parquet(str(tmp_path / "final")).count() == 2
+    assert _same(spark.read.parquet(str(tmp_path / "final")), enrichment.final_output(job))
+
+
+def test_a_job_without_bids_of_a_branch_publishes_nothing(job, tmp_path):
+    job = replace(job, bids=job.bids.withColumn("frequency_bracket", F.lit(None).cast("string")),
+                  eligible=job.eligible.limit(0))
+    with pytest.raises(quality.AuditError, match="final_output is empty"):
+        enrichment.run_job(job, str(tmp_path / "final"))
+    assert not (tmp_path / "final").exists()
+
+
 def _listed(seq):
     return [seq.apply(i) for i in range(seq.size())]
 
