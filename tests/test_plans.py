@@ -74,6 +74,13 @@ def test_bids_are_shuffled_once_by_the_user_and_before_they_are_summed(spark):
     assert "partial_sum" in "".join(plan[:grouped]) and "partial_sum" not in "".join(plan[grouped:])
 
 
+def test_outputs_are_audited_once(spark):
+    """The report is written by the audit that the outputs have to pass, so reading it audits nothing again."""
+    report = QUERIES["output_audit"](spark, SF_DIR)
+    assert "Exchange" not in physical(report)
+    assert [r["duplicate_keys"] for r in report.collect()] == [0, 0, 0]
+
+
 def test_groups_are_limited_before_the_shuffle(spark):
     assert "WindowGroupLimit" in physical(QUERIES["skew_indicators"](spark, SF_DIR))
 
